@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid
+from . import langid, packing, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,8 +15,18 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_table(spark, sf_dir, "documents"))
 
 
+def op2_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digests(packing.pack_documents(_table(spark, sf_dir, "documents")))
+
+
+def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_hilbert_packing": op2_hilbert_packing,
+    "op5_simhash_near_dedup": op5_simhash_near_dedup,
 }
 
 ORACLES: dict[str, str] = {}
