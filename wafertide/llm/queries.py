@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, packing, simhash
+from . import langid, licenses, packing, quality, simhash, urlfilter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,14 +19,33 @@ def op2_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digests(packing.pack_documents(_table(spark, sf_dir, "documents")))
 
 
+def op3_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(_table(spark, sf_dir, "documents"))
+
+
+def op4_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge(_table(spark, sf_dir, "pages"))
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_hilbert_packing": op2_hilbert_packing,
+    "op3_host_quality": op3_host_quality,
+    "op4_url_cascade": op4_url_cascade,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
+    "op8_license_scan": op8_license_scan,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_host_quality": quality.ORACLE,
+    "op4_url_cascade": urlfilter.ORACLE,
+    "op8_license_scan": licenses.oracle(),
+}
