@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, licenses, packing, quality, simhash, urlfilter
+from . import embeddings, langid, licenses, packing, quality, sentencepiece, sharding, simhash, urlfilter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,17 +31,32 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op6_lookup_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.place(_table(spark, sf_dir, "documents").select("doc_id"))
+
+
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece.round_trip(_table(spark, sf_dir, "documents"))
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_table(spark, sf_dir, "documents"))
 
 
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_hilbert_packing": op2_hilbert_packing,
     "op3_host_quality": op3_host_quality,
     "op4_url_cascade": op4_url_cascade,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
+    "op6_lookup_sharding": op6_lookup_sharding,
+    "op7_sentencepiece": op7_sentencepiece,
     "op8_license_scan": op8_license_scan,
+    "op9_embedding_near_dedup": op9_embedding_near_dedup,
 }
 
 ORACLES: dict[str, str] = {
