@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embeddings, langid, licenses, packing, quality, sentencepiece, sharding, simhash, urlfilter
+from . import embeddings, langid, licenses, packing, pii, quality, sentencepiece, sharding, simhash, urlfilter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,6 +47,10 @@ def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+def op10_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_hilbert_packing": op2_hilbert_packing,
@@ -57,6 +61,7 @@ QUERIES = {
     "op7_sentencepiece": op7_sentencepiece,
     "op8_license_scan": op8_license_scan,
     "op9_embedding_near_dedup": op9_embedding_near_dedup,
+    "op10_contextual_pii": op10_contextual_pii,
 }
 
 ORACLES: dict[str, str] = {
