@@ -68,7 +68,8 @@ def _baseline(rows: DataFrame, value: Column, size: int) -> tuple[Column, Column
     """Mean and floored sample spread over the first ``size`` samples so far; the spread of one sample is 1."""
     now = A.up_to_now(KEY, ["n"])
     first = F.when(F.col("n") <= size, value)
-    return F.avg(first).over(now), F.coalesce(F.greatest(F.stddev_samp(first).over(now), F.lit(1e-9)), F.lit(1.0))
+    spread = F.greatest(F.stddev_samp(first).over(now), F.lit(1e-9))  # greatest skips the null of a single sample
+    return F.avg(first).over(now), F.when(F.count(first).over(now) < 2, 1.0).otherwise(spread)
 
 
 def ewma_chart(wafers: DataFrame, value: str, cfg: Inter = Inter()) -> DataFrame:

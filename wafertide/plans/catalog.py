@@ -16,7 +16,7 @@ from ..operators import detectors as D
 from ..operators import models as M
 from ..operators import reference as R
 from ..schema import GROUP
-from ..scratch import new_path
+from ..scratch import materialize, new_path
 from ..sources import ingest, simulate, sinks
 from ..streaming import stateful
 from . import fixtures as X
@@ -73,7 +73,8 @@ def q(expr: str, digits: int = 4) -> str:
 
 
 def analysis(spark: SparkSession, sf_dir: str, cfg: Config = CFG, **kw) -> Analysis:
-    return Analysis(X.waveforms(spark, sf_dir, **kw), cfg)
+    """A run over the derived chips, which are stored first, as ingestion would store them."""
+    return Analysis(materialize(X.waveforms(spark, sf_dir, **kw), "chips"), cfg)
 
 
 def shown(df: DataFrame, *columns) -> DataFrame:
@@ -269,8 +270,8 @@ NOW = "over (partition by g, ep order by n rows unbounded preceding)"
 
 @query(
     "roughness_baseline",
-    f"""with recursive {FEAT} select g, wi, {q(f'avg(rt) {NOW}')} temp_mean, {q(f'coalesce(greatest(stddev_samp(rt) {NOW}, 1e-9), 1)')} temp_std,
-    {q(f'avg(rr) {NOW}')} resist_mean, {q(f'coalesce(greatest(stddev_samp(rr) {NOW}, 1e-9), 1)')} resist_std from wf""",
+    f"""with recursive {FEAT} select g, wi, {q(f'avg(rt) {NOW}')} temp_mean, {q(f'case when count(*) {NOW} < 2 then 1 else greatest(stddev_samp(rt) {NOW}, 1e-9) end')} temp_std,
+    {q(f'avg(rr) {NOW}')} resist_mean, {q(f'case when count(*) {NOW} < 2 then 1 else greatest(stddev_samp(rr) {NOW}, 1e-9) end')} resist_std from wf""",
 )
 def roughness_baseline(spark, sf_dir):
     return shown(analysis(spark, sf_dir).roughness_baseline(), "temp_mean", "temp_std", "resist_mean", "resist_std")

@@ -79,4 +79,4 @@ def baseline_sql(value: str, size: int) -> str:
     """Columns bm and bs: mean and floored sample spread of the first ``size`` values so far."""
     now = "over (partition by g, ep order by n rows unbounded preceding)"
     first = f"case when n <= {size} then {value} end"
-    return f"avg({first}) {now} bm, coalesce(greatest(stddev_samp({first}) {now}, 1e-9), 1.0) bs"
+    return f"avg({first}) {now} bm, case when count({first}) {now} < 2 then 1.0 else greatest(stddev_samp({first}) {now}, 1e-9) end bs"

@@ -75,7 +75,8 @@ class Analysis:
         found = {}
         for c in self.channels:
             found[f"{c}_mean"] = F.avg(f"{c}_roughness").over(now)
-            found[f"{c}_std"] = F.coalesce(F.greatest(F.stddev_samp(f"{c}_roughness").over(now), F.lit(1e-9)), F.lit(1.0))
+            spread = F.greatest(F.stddev_samp(f"{c}_roughness").over(now), F.lit(1e-9))
+            found[f"{c}_std"] = F.when(F.count("*").over(now) < 2, 1.0).otherwise(spread)
         return self.wafers.withColumns(found)
 
     def events(self, models: bool = True) -> DataFrame:

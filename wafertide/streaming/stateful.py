@@ -121,7 +121,8 @@ def track(chips: DataFrame, cfg: Config = Config()) -> DataFrame:
             if got:
                 out.append(dict(zip(GROUP, key, strict=True)) | {"wafer_id": wafer["wafer_id"].iloc[0], "wafer_seq": seq} | got)
         state.update((tracker.dump(),))
-        yield pd.DataFrame(out, columns=names)
+        if out:
+            yield pd.DataFrame(out, columns=names)
 
     return chips.groupBy(*GROUP).applyInPandasWithState(step, CHART, "state string", "append", GroupStateTimeout.NoTimeout)
 
