@@ -138,9 +138,7 @@ def features(at: DataFrame, cfg: Feature = Feature(), two: bool = True) -> DataF
     return at.withColumns(found)
 
 
-def prepared(chips: DataFrame, cfg: Config = Config(), two: bool = True) -> tuple[DataFrame, DataFrame]:
-    """(chips with epochs and lengths, references) of a chips table."""
+def prepared(chips: DataFrame, cfg: Config = Config(), two: bool = True) -> DataFrame:
+    """Chips with a series, with their epochs, lengths and (with resistance) levels."""
     ready = pinned(with_epochs(chips.where(F.size("temp_series") > 0)), cfg.reference)
-    if two:
-        ready = chip_levels(ready)
-    return ready, references(ready, cfg.reference, two)
+    return chip_levels(ready) if two else ready

@@ -21,15 +21,15 @@ SLIM = ["wafer_id", "x", "y", "bond_order", "n_before"]
 class Analysis:
     """One run over a chips table.
 
-    The references and the features without their arrays feed every detector, so they are written once to the shared
-    folder; charts are plans on them, built when asked for.
+    Chips with their epochs, the references, and the features without arrays are each read several times, so they are
+    written once to the shared folder; charts are plans on them, built when asked for.
     """
 
     def __init__(self, chips: DataFrame, cfg: Config = Config(), two: bool = True):
         self.cfg, self.two = cfg, two
         self.channels = ("temp", "resist") if two else ("temp",)
-        self.chips, refs = R.prepared(chips, cfg, two)
-        self.refs = materialize(refs, "references")
+        self.chips = materialize(R.prepared(chips, cfg, two), "chips")
+        self.refs = materialize(R.references(self.chips, cfg.reference, two), "references")
         self.at = R.with_reference(self.chips, self.refs, two)
         slim = [f"{c}_{f}" for c in self.channels for f in (("roughness", "spike") if two else ("roughness",))]
         found = R.features(self.at, cfg.feature, two).select(*WAFER, *SLIM, *(["cluster"] if two else []), *slim)
