@@ -207,7 +207,7 @@ def pack(tokens: DataFrame, cfg: Settings = Settings()) -> DataFrame:
         if held:
             yield emit(list(split_tail(held, at % size, base + at // size)))
 
-    ordered = tokens.repartitionByRange("curve_key", "doc_id", "ids").sortWithinPartitions("curve_key", "doc_id", "ids")
+    ordered = tokens.repartitionByRange("curve_key", "doc_id").sortWithinPartitions("curve_key", "doc_id", "ids")
     return ordered.select("doc_id", "n_tokens", "curve_key", "ids").mapInArrow(stream, PIECES)
 
 
