@@ -138,10 +138,10 @@ def test_stream_equals_batch(spark, tmp_path):
 
 def test_baseline_document(spark, tmp_path):
     chips = materialize(simulate.wafers(spark, simulate.normal(7, seed=11, **SIZE)), "chips")
-    a, path = Analysis(chips, CFG, two=False), str(tmp_path / "baseline.json")
+    a, path = Analysis(chips, CFG, two=False), str(tmp_path / "baseline")
     sinks.baseline_json(a.states(), path, CFG)
     (g,) = sinks.load_baseline(spark, path).collect()
-    doc = json.load(open(path))
+    doc = json.loads(spark.read.text(path).first()[0])
     assert doc["version"] == "1.0" and doc["config"]["inter_wafer"]["baseline_wafers"] == 5
     tracker = stateful.GroupTracker(CFG)
     for seq in range(1, 8):

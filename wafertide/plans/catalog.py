@@ -551,15 +551,10 @@ def group_key_string(spark, sf_dir):
     from l join ref on ref.g = l.g and ref.wi = l.wi join lastch on lastch.g = l.g""",
 )
 def baseline_json_roundtrip(spark, sf_dir):
-    import os
-    import tempfile
-
-    path = os.path.join(tempfile.mkdtemp(), "baseline.json")
+    path = new_path(spark, "baseline")
     sinks.baseline_json(analysis(spark, sf_dir).states(), path, CFG)
-    with open(path) as text:  # the document is the driver's, so it travels with the plan
-        doc = spark.createDataFrame([(text.read(),)], "t string").select(F.from_json("t", sinks.BASELINE).alias("d"))
-    rows = doc.select(F.explode("d.groups").alias("g"))
-    rows = rows.select(F.col("g.group_key.equipment_id").alias("g"), "g.reference", "g.inter_wafer_state", F.posexplode("g.reference.temp_ref").alias("pos", "v"))
+    rows = sinks.load_baseline(spark, path)
+    rows = rows.select(F.col("equipment_id").alias("g"), "reference", "inter_wafer_state", F.posexplode("reference.temp_ref").alias("pos", "v"))
     return rounded(
         rows.select("g", "pos", "v", "reference.n_wafers_seen", *[f"inter_wafer_state.{c}" for c in ("ewma_value", "baseline_mean", "baseline_std", "n_samples")])
     )

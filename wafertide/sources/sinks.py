@@ -67,11 +67,12 @@ def run_summary(known: DataFrame, rows: DataFrame, chips: DataFrame, events: Dat
 
 
 def baseline_json(states: DataFrame, path: str, cfg: Config = Config()) -> None:
-    """Write per-group states as one JSON document.
+    """Write per-group states as one JSON document, in a folder of any store that Spark writes to.
 
-    The document is an interchange format, so its groups are gathered; the rows come sorted through an iterator.
+    The document is an interchange format for one line's groups, so these are gathered; tables of states stay Parquet.
     """
-    groups = [json.loads(r[0]) for r in states.orderBy(*GROUP).select(F.to_json(F.struct("group_key", "reference", "inter_wafer_state"), {"ignoreNullFields": "false"})).toLocalIterator()]
+    state = F.struct("group_key", "reference", "inter_wafer_state")
+    rows = states.orderBy(*GROUP).select(F.to_json(state, {"ignoreNullFields": "false"}))
     config = {
         "reference": {"ewma_alpha": cfg.reference.alpha},
         "feature": {"min_points": cfg.feature.least_points},
@@ -79,8 +80,8 @@ def baseline_json(states: DataFrame, path: str, cfg: Config = Config()) -> None:
         "inter_wafer": {"ewma_lambda": cfg.inter.weight, "alert_sigma": cfg.inter.sigma, "baseline_wafers": cfg.inter.baseline},
     }
     created = dt.datetime.now(dt.timezone.utc).isoformat()
-    with open(path, "w") as out:
-        json.dump({"version": "1.0", "created_at": created, "config": config, "groups": groups}, out)
+    doc = {"version": "1.0", "created_at": created, "config": config, "groups": [json.loads(r[0]) for r in rows.toLocalIterator()]}
+    states.sparkSession.createDataFrame([(json.dumps(doc),)], "value string").coalesce(1).write.mode("overwrite").text(path)
 
 
 def load_baseline(spark: SparkSession, path: str) -> DataFrame:
