@@ -215,7 +215,7 @@ def redact(docs: DataFrame, cfg: Settings = Settings()) -> DataFrame:
     rows = marked(docs, names, m, cfg).withColumn(row, F.monotonically_increasing_id())
     rows = written(rows, "pii-texts")
     small = rows.select(F.col(row).alias("row"), F.col(f"{m}.found").alias("found"))
-    more = added(small, learn(small, cfg)).select(F.col("row").alias(row), F.col("more").alias(spans))
+    more = written(added(small, learn(small, cfg)).select(F.col("row").alias(row), F.col("more").alias(spans)), "more-spans")
     every = F.concat(f"{m}.spans", F.coalesce(spans, F.array().cast(SPAN)))
 
     @F.arrow_udf("string")

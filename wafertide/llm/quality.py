@@ -121,7 +121,7 @@ def judge(docs: DataFrame, cfg: Settings = Settings()) -> DataFrame:
         repeated_lines().alias("n_dup_lines"),
     )
     rows = written(rows.select("doc_id", "host", "m.*", "n_symbols", "n_dup_lines"), "quality")
-    bad = rejected_hosts(rows, cfg).withColumn("rejected", F.lit(True))
+    bad = written(rejected_hosts(rows, cfg), "hosts").withColumn("rejected", F.lit(True))
     return rows.join(bad, "host", "left").select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & F.col("rejected").isNull()).alias("kept"),
@@ -136,7 +136,7 @@ def keep_good(docs: DataFrame, cfg: Settings = Settings()) -> DataFrame:
     (host,) = fresh(docs, "__host")
     failed = word_counts(cfg)["base_failed"]
     bad = rejected_hosts(docs.select(F.col("source").alias("host"), failed.alias("base_failed")), cfg)
-    bad = bad.select(F.col("host").alias(host))
+    bad = written(bad.select(F.col("host").alias(host)), "hosts")  # its size on disk decides how it is joined
     return docs.where(~failed).join(bad, F.col("source") == F.col(host), "left_anti")
 
 

@@ -85,16 +85,16 @@ def fingerprints(texts: pa.Array, words: int = 4, seed: int = 42) -> np.ndarray:
     out = np.zeros(rows, np.uint64)
     shifts = np.arange(BITS, dtype=np.uint64)
     row = 0
-    while row < rows:  # slabs of about 4 MB bound the expanded bits
-        last = max(row + 1, int(np.searchsorted(offsets, offsets[row] + (4 << 20), side="right")) - 1)
+    while row < rows:  # slabs of about 1 MB bound the expanded bits
+        last = max(row + 1, int(np.searchsorted(offsets, offsets[row] + (1 << 20), side="right")) - 1)
         data, start, end, owner = shingle_bounds(flat[offsets[row] : offsets[last]], offsets[row : last + 1] - offsets[row], words)
         hashes = np.fromiter(
             (xxh64_intdigest(data[s:e], seed) for s, e in zip(start.tolist(), end.tolist(), strict=True)), np.uint64, len(start)
         )
         total = np.bincount(owner, minlength=last - row)
         ones = np.zeros((last - row, BITS), np.int64)
-        for at in range(0, len(hashes), 1 << 18):
-            part, own = hashes[at : at + (1 << 18)], owner[at : at + (1 << 18)]
+        for at in range(0, len(hashes), 1 << 16):
+            part, own = hashes[at : at + (1 << 16)], owner[at : at + (1 << 16)]
             bits = np.unpackbits(part.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
             cuts = np.flatnonzero(np.diff(own, prepend=-1))
             ones[own[cuts]] += np.add.reduceat(bits, cuts, axis=0, dtype=np.int64)
@@ -215,13 +215,14 @@ def keep_first(docs: DataFrame, radius: int = 4) -> DataFrame:
     fp, group, nth = fresh(docs, "__fp", "__group", "__nth")
     marked = written(with_fingerprint(docs, ("doc_id",)), "simhash")
     found = grouped(marked, radius)
-    losers = (
+    losers = written(
         marked.join(found, "fp")
         .where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
         .select("doc_id")
         .where("doc_id is not null")
-        .distinct()
-    )
+        .distinct(),
+        "losers",
+    )  # its size on disk decides whether texts have to be shuffled
     repeated = marked.groupBy("doc_id").count().where("count > 1 or doc_id is null").limit(1).count() > 0
     kept = docs.join(losers, "doc_id", "left_anti").select(*names)
     if not repeated:
