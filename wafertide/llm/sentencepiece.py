@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import binaries
+from .common import utf8
 from .packing import tokenizer_path
 
 META = "▁"
@@ -172,20 +172,25 @@ def split_units(text: str) -> list[str]:
     return _UNIT.findall(META + text.replace(" ", META)) if text else []
 
 
-def encode(docs: DataFrame, model: str = MODEL, remembered: int = 200_000) -> DataFrame:
+def encode(docs: DataFrame, model: str = MODEL, remembered: int = 200_000, slab: int = 1 << 20) -> DataFrame:
     """``doc_id, text, ids, n_ids``: ids are little-endian unsigned 32-bit.  ``remembered`` bounds the units that a
-    worker keeps between batches; it changes no result."""
+    worker keeps, ``slab`` the bytes of text that it splits at a time; neither changes a result."""
 
     @F.arrow_udf("ids binary, n_ids long")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         pieces, cache = Pieces(model), {}
         for texts in batches:
-            if len(cache) > remembered:
-                cache.clear()
-            split = [split_units(t) if t else [] for t in texts.to_pylist()]
-            new = list({u for units in split for u in units if u not in cache})
-            cache.update(zip(new, (x.tobytes() for x in pieces.units(new)), strict=True))
-            data = [b"".join([cache[u] for u in units]) for units in split]
+            data, at = [], 0
+            ends = np.cumsum(np.diff(utf8(texts)[1]))
+            while at < len(texts):  # units take many times their text's bytes, so a batch goes slab by slab
+                end = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + slab, side="right")))
+                if len(cache) > remembered:
+                    cache.clear()
+                split = [split_units(t) if t else [] for t in texts.slice(at, end - at).to_pylist()]
+                new = list({u for units in split for u in units if u not in cache})
+                cache.update(zip(new, (x.tobytes() for x in pieces.units(new)), strict=True))
+                data += [b"".join([cache[u] for u in units]) for units in split]
+                at = end
             yield pa.StructArray.from_arrays([pa.array(data, pa.binary()), pa.array([len(d) // 4 for d in data], pa.int64())], ["ids", "n_ids"])
 
     return docs.select("doc_id", "text", run("text").alias("r")).select("doc_id", "text", "r.*")
