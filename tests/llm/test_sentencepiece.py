@@ -19,7 +19,7 @@ def library():
 
 def ids(pieces, text):
     units = own.split_units(text)
-    return np.concatenate([np.empty(0, np.uint32), *pieces.units(units)]).tolist()
+    return np.frombuffer(b"".join(pieces.units(units)), "<u4").tolist()
 
 
 def test_ids_equal_the_library(library, tiny):
@@ -47,3 +47,15 @@ def test_round_trip(spark, library):
             want = np.array(library.encode(t), "<u4").tobytes()
             assert (by[i].n_ids, by[i].ids_crc32) == (len(want) // 4, zlib.crc32(want))
     assert own.round_trip(frame(spark, [])).count() == 0
+
+
+def test_neighbours_equal_merging():
+    pieces, rng = own.Pieces(), random.Random(3)
+    some = [i for i in np.flatnonzero(pieces.reached).tolist() if i % 7 == 0]
+    assert all(pieces.merged(pieces.text[i]) == [pieces.text[i]] for i in some)
+    assert not any(pieces.merged(t) == [t] for t, i in pieces.id.items() if not pieces.reached[i])
+    a, b = (np.array([rng.choice(some) for _ in range(20_000)]) for _ in range(2))
+    b[:500] = a[:500]
+    for _ in range(2):  # the second time from the table of recent answers, where it holds them
+        got = pieces.stay_apart(a, b)
+        assert got.tolist() == [pieces.merged(pieces.text[x] + pieces.text[y]) == [pieces.text[x], pieces.text[y]] for x, y in zip(a, b)]

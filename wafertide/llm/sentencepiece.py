@@ -2,15 +2,19 @@
 
 The text becomes units: white space turns into the meta symbol, one goes in front, and a unit is a run of meta symbols
 with the run of other characters behind it; no piece crosses a unit's border.  The distinct units of a batch are
-grouped by length, and the units of a group advance together: at every position, rolling hashes of the substrings that
-end there probe the sorted piece hashes, admissible arcs get their score, and a vectorised maximum stores the
-backpointer.
+grouped by length (long ones padded to a common length), and the units of a group advance together: at every position,
+rolling hashes of the substrings that end there probe the sorted piece hashes, admissible arcs get their length, and a
+vectorised maximum stores the backpointer.
 
 The model is a merge model: its segmentation is not the one with the best sum of scores.  But a sequence of pieces
 is the merged one exactly if merging the text of each two neighbours gives those two back, since a merge across
 their border would already happen there.  So an arc is admissible if its piece follows the best path's last piece in
-that sense, each position has one admissible arc, and the path equals the library's segmentation.  Neighbour checks
-are memoised; characters without a piece become their bytes.
+that sense, each position has one admissible arc, and the path equals the library's segmentation.
+
+Whether two pieces stay apart is read off their merge trees, for many pairs at once.  Where scores fall along a piece's
+merges, time is the score: undo the later of the two pieces' last merges, again and again, and see whether the parts
+that then face each other would merge before the merge just undone.  A piece whose scores don't fall is merged
+step by step instead.  Recent answers stay in a table of fixed size.  Characters without a piece become their bytes.
 
 Defined results: null and empty texts have no id and decode to the empty text.  U+2581 itself decodes to a space, as
 in the library.  Repeated rows are encoded alike.  An empty table gives no row.  Other columns are ignored.
@@ -20,6 +24,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -54,15 +59,39 @@ class Pieces:
                 self.byte[int(self.text[i][3:5], 16)] = i
                 self.byte_of[i] = int(self.text[i][3:5], 16)
         self.hidden = {i for i in range(n) if sp.is_control(i)}
-        reached = [i for i in plain if self.merged(self.text[i]) == [self.text[i]]]
+        self._trees(plain)
+        reached = np.flatnonzero(self.reached)
         self.longest = max((len(self.text[i]) for i in reached), default=1)
         keys = np.array([self.hash(np.array([[ord(c) for c in self.text[i]]], np.uint64))[0] for i in reached], np.uint64)
         order = np.argsort(keys)
-        self.keys, self.ids = keys[order], np.array(reached, np.int64)[order]
+        self.keys, self.ids = keys[order], reached[order]
         if len(np.unique(keys)) < len(keys):
             raise ValueError("two pieces share a hash")
-        self.pairs = np.empty(0, np.int64)  # known pairs of neighbours, sorted, and whether they stay apart
-        self.apart = np.empty(0, bool)
+        self.seen = np.zeros(1 << 20, bool)  # low bits of the keys, so that most other hashes need no search
+        self.seen[(keys & np.uint64(len(self.seen) - 1)).astype(np.int64)] = True
+        self.memo = np.full(1 << 20, -1, np.int64)  # the last pair of each slot, doubled, plus whether it stays apart
+
+    def _trees(self, plain: list[int]) -> None:
+        """Which pieces merging reaches, their last merges, and the score of every two parts that merge."""
+        n = len(self.text)
+        self.points = np.array([self.score.get(t, 0.0) for t in self.text])
+        self.left, self.right = np.full(n, -1, np.int64), np.full(n, -1, np.int64)
+        self.reached, self.stepwise = np.zeros(n, bool), np.zeros(n, bool)
+        splits = [(a, b, i) for i in plain for k in range(1, len(self.text[i])) if (a := self.id.get(self.text[i][:k])) is not None and (b := self.id.get(self.text[i][k:])) is not None]
+        a, b, whole = np.array(splits, np.int64).reshape(-1, 3).T
+        order = np.argsort(a << 32 | b)
+        self.pair, self.pair_points = (a << 32 | b)[order], self.points[whole[order]]
+        size = np.array([len(t) for t in self.text])
+        self.reached[[i for i in plain if size[i] == 1]] = True
+        for length in range(2, max(size[plain], default=1) + 1):
+            use = np.flatnonzero((size[whole] == length) & self.reached[a] & self.reached[b] & ~self.stepwise[a] & ~self.stepwise[b])
+            later = lambda part: (size[part] == 1) | (self.points[part] > self.points[whole[use]])
+            use = use[later(a[use]) & later(b[use])]
+            use = use[self.faced(a[use], b[use], self.points[whole[use]])]
+            self.reached[whole[use]], self.left[whole[use]], self.right[whole[use]] = True, a[use], b[use]
+            for i in (i for i in plain if size[i] == length and not self.reached[i]):
+                if self.merged(self.text[i]) == [self.text[i]]:
+                    self.reached[i] = self.stepwise[i] = True
 
     @staticmethod
     def hash(codes: np.ndarray) -> np.ndarray:
@@ -84,74 +113,105 @@ class Pieces:
             parts[best[1] : best[1] + 2] = ["".join(parts[best[1] : best[1] + 2])]
         return parts
 
+    def faced(self, left: np.ndarray, right: np.ndarray, limit: np.ndarray) -> np.ndarray:
+        """Whether no merge across the border of ``left`` and ``right``, other than theirs at score ``limit``, comes first."""
+        apart, live, x, y = np.ones(len(left), bool), np.arange(len(left)), left, right
+        behind = np.zeros(len(left), bool)  # whether the merge undone last lay behind the border
+        while len(live):
+            at = np.minimum(np.searchsorted(self.pair, x << 32 | y), len(self.pair) - 1)
+            points = np.where(self.pair[at] == (x << 32 | y), self.pair_points[at], -np.inf)
+            fires = (points > limit) | ((points == limit) & behind)  # of two equal merges the one in front comes first
+            apart[live[fires]] = False
+            go = np.flatnonzero(~fires & ((self.left[x] >= 0) | (self.left[y] >= 0)))
+            live, x, y = live[go], x[go], y[go]
+            behind = (self.left[x] < 0) | ((self.left[y] >= 0) & (self.points[y] <= self.points[x]))
+            limit = np.where(behind, self.points[y], self.points[x])
+            x, y = np.where(behind, x, self.right[x]), np.where(behind, self.left[y], y)
+        return apart
+
     def stay_apart(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Whether each piece ``right`` may follow ``left``; a negative number is a character without a piece, -1 the start."""
-        want = left * (1 << 32) + right
-        free = (left < 0) | (right < 0)
-        at = np.minimum(np.searchsorted(self.pairs, want), max(0, len(self.pairs) - 1))
-        known = free | (self.pairs[at] == want if len(self.pairs) else False)
-        if not known.all():
-            new = np.unique(want[~known])
-            said = [self.merged(a + b) == [a, b] for a, b in ((self.text[x >> 32], self.text[x & 0xFFFFFFFF]) for x in new.tolist())]
-            pairs, apart = np.concatenate([self.pairs, new]), np.concatenate([self.apart, np.array(said, bool)])
-            order = np.argsort(pairs, kind="stable")
-            self.pairs, self.apart = pairs[order], apart[order]
-            at = np.minimum(np.searchsorted(self.pairs, want), len(self.pairs) - 1)
-        return free | (self.apart[at] if len(self.apart) else free)
+        out = left < 0
+        ask = np.flatnonzero(~out)
+        pair = left[ask] << 32 | right[ask]
+        slot = ((pair * -0x61C8864680B583EB) >> 40) & (len(self.memo) - 1)
+        held = self.memo[slot]
+        out[ask] = (held & 1).astype(bool)
+        new = np.flatnonzero(held >> 1 != pair)
+        if len(new):
+            a, b = left[ask[new]], right[ask[new]]
+            said = self.faced(a, b, np.full(len(new), -np.inf))
+            for i in np.flatnonzero(self.stepwise[a] | self.stepwise[b]).tolist():
+                two = [self.text[a[i]], self.text[b[i]]]
+                said[i] = self.merged("".join(two)) == two
+            self.memo[slot[new]] = pair[new] << 1 | said
+            out[ask[new]] = said
+        return out
 
     def viterbi(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Units of equal length as code points, one a row: the last piece at each position, and its length."""
-        rows, n = codes.shape
-        piece = np.full((rows, n + 1), -1, np.int64)
-        back = np.zeros((rows, n + 1), np.int64)
-        rolling: list[np.ndarray] = []  # hashes of the substrings that start at each position and end here
+        """Units of equal length as code points, one a column: the last piece at each position, and its length."""
+        n, units = codes.shape
+        piece = np.full((n + 1, units), -1, np.int64)
+        back = np.ones((n + 1, units), np.int64)
+        rolling = np.zeros((min(n, self.longest), units), np.uint64)  # hashes of the substrings from each start to here
+        every = np.arange(units)
         for end in range(1, n + 1):
-            rolling.append(np.zeros(rows, np.uint64))
-            rolling = rolling[-self.longest :]
-            for k, h in enumerate(rolling):
-                h = (h + codes[:, end - 1] + np.uint64(1)) * _BASE
-                rolling[k] = h ^ (h >> np.uint64(29))
-            arc = np.full((rows, len(rolling)), -1.0)
-            ids = np.full((rows, len(rolling)), -2, np.int64)
-            for k, h in enumerate(rolling):
-                at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
-                hit = np.flatnonzero(self.keys[at] == h)
-                got, start = self.ids[at[hit]], end - len(rolling) + k
-                ok = self.stay_apart(piece[hit, start], got)
-                ids[hit[ok], k] = got[ok]
-                arc[hit[ok], k] = len(rolling) - k
-            best = arc.argmax(axis=1)
-            none = arc[np.arange(rows), best] < 0  # a character without a piece stands alone
-            best[none] = len(rolling) - 1
-            piece[:, end] = ids[np.arange(rows), best]
-            back[:, end] = len(rolling) - best
+            live = rolling[:end]
+            live[(end - 1) % len(rolling)] = 0
+            live += codes[end - 1] + np.uint64(1)
+            live *= _BASE
+            live ^= live >> np.uint64(29)
+            maybe = np.flatnonzero(self.seen[(live & np.uint64(len(self.seen) - 1)).view(np.int64)])
+            h = live.ravel()[maybe]
+            at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
+            hit = self.keys[at] == h
+            got, where = self.ids[at[hit]], maybe[hit]
+            line, unit = np.divmod(where, units)
+            length = (end - 1 - line) % len(rolling) + 1
+            ok = self.stay_apart(piece[end - length, unit], got)
+            arc, ids = np.zeros(live.shape, np.int16), np.full(live.shape, -2, np.int32)
+            arc.ravel()[where[ok]], ids.ravel()[where[ok]] = length[ok], got[ok]
+            best = arc.argmax(axis=0)
+            piece[end] = ids[best, every]
+            back[end] = np.maximum(arc[best, every], 1)  # a character without a piece stands alone
         return piece, back
 
-    def units(self, units: list[str]) -> list[np.ndarray]:
-        """Ids of each unit."""
-        out: list = [None] * len(units)
-        by_length: dict[int, list[int]] = {}
-        for i, u in enumerate(units):
-            by_length.setdefault(len(u), []).append(i)
-        for n, own in by_length.items():
-            step = max(1, (1 << 20) // (n * 16 + 16))
-            for at in range(0, len(own), step):
+    def units(self, units: list[str]) -> list[bytes]:
+        """Ids of each unit, little-endian unsigned 32-bit."""
+        out: list = [b""] * len(units)
+        size = np.array([len(u) for u in units], np.int64)
+        grain = 1 << np.maximum(np.frexp(size)[1] - 3, 0) * (size > 12)
+        padded = -(-size // grain) * grain  # up to 12 exact, beyond at most a quarter more
+        order = np.argsort(padded, kind="stable")
+        for own in np.split(order, np.flatnonzero(np.diff(padded[order])) + 1):
+            n = int(padded[own[0]]) if len(own) else 0
+            step = max(1, (1 << 18) // (n + 16)) if n else len(own) + 1
+            for at in range(0, len(own) if n else 0, step):
                 some = own[at : at + step]
-                codes = np.array([[ord(c) for c in units[i]] for i in some], np.uint64).reshape(len(some), n)
-                piece, back = self.viterbi(codes)
-                last, last_back = piece.tolist(), back.tolist()
-                for row, i in enumerate(some):
-                    ids, end = [], n
-                    while end > 0:
-                        got = last[row][end]
-                        if got >= 0:
-                            ids.append(got)
-                        else:
-                            ids += self.byte[list(units[i][end - 1].encode("utf-8", "surrogatepass"))].tolist()[::-1]
-                        end -= last_back[row][end]
-                    out[i] = np.array(ids[::-1], np.uint32)
+                text = "".join([units[i].ljust(n, "\0") for i in some]).encode("utf-32-le", "surrogatepass")
+                piece, back = self.viterbi(np.frombuffer(text, "<u4").reshape(len(some), n).T.astype(np.uint64, order="C"))
+                end, every, path = size[some].copy(), np.arange(len(some)), []
+                while end.any():
+                    path.append(np.where(end > 0, piece[end, every], -1))  # -1: before the start
+                    end = np.maximum(end - back[end, every], 0)
+                path = np.array(path[::-1]).T
+                for row in np.flatnonzero((path == -2).any(axis=1)).tolist():
+                    out[some[row]] = self._with_bytes(units[some[row]], path[row])
+                plain = np.flatnonzero(~(path == -2).any(axis=1))
+                here = path[plain] >= 0
+                flat, ends = path[plain][here].astype("<u4").tobytes(), (4 * np.cumsum(here.sum(axis=1))).tolist()
+                for i, a, b in zip(some[plain].tolist(), [0, *ends], ends):
+                    out[i] = flat[a:b]
         return out
 
+    def _with_bytes(self, unit: str, path: np.ndarray) -> bytes:
+        """Ids of a unit some of whose characters, -2 in its path, are spelt in bytes."""
+        ids, at = [], 0
+        for i in path[path != -1].tolist():
+            ids += [i] if i >= 0 else self.byte[list(unit[at].encode("utf-8", "surrogatepass"))].tolist()
+            at += len(self.text[i]) if i >= 0 else 1
+        return np.array(ids, "<u4").tobytes()
+
     def decode(self, ids: np.ndarray) -> str:
         parts, raw = [], bytearray()
         for i in ids.tolist():
@@ -168,6 +228,12 @@ class Pieces:
         return text[1:] if text.startswith(" ") else text
 
 
+@cache
+def pieces_of(model: str) -> Pieces:
+    """A worker's tables, built once for all its tasks."""
+    return Pieces(model)
+
+
 def split_units(text: str) -> list[str]:
     return _UNIT.findall(META + text.replace(" ", META)) if text else []
 
@@ -178,18 +244,18 @@ def encode(docs: DataFrame, model: str = MODEL, remembered: int = 200_000, slab:
 
     @F.arrow_udf("ids binary, n_ids long")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        pieces, cache = Pieces(model), {}
+        pieces, known = pieces_of(model), {}
         for texts in batches:
             data, at = [], 0
             ends = np.cumsum(np.diff(utf8(texts)[1]))
             while at < len(texts):  # units take many times their text's bytes, so a batch goes slab by slab
                 end = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + slab, side="right")))
-                if len(cache) > remembered:
-                    cache.clear()
+                if len(known) > remembered:
+                    known.clear()
                 split = [split_units(t) if t else [] for t in texts.slice(at, end - at).to_pylist()]
-                new = list({u for units in split for u in units if u not in cache})
-                cache.update(zip(new, (x.tobytes() for x in pieces.units(new)), strict=True))
-                data += [b"".join([cache[u] for u in units]) for units in split]
+                new = list({u for units in split for u in units if u not in known})
+                known.update(zip(new, pieces.units(new), strict=True))
+                data += [b"".join([known[u] for u in units]) for units in split]
                 at = end
             yield pa.StructArray.from_arrays([pa.array(data, pa.binary()), pa.array([len(d) // 4 for d in data], pa.int64())], ["ids", "n_ids"])
 
@@ -205,7 +271,7 @@ def decode(encoded: DataFrame, model: str = MODEL) -> DataFrame:
 
     @F.arrow_udf("string")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        pieces = Pieces(model)
+        pieces = pieces_of(model)
         raw = [bytes([pieces.byte_of[i]]) if i in pieces.byte_of else b"" if i in pieces.hidden else t.replace(META, " ").encode() for i, t in enumerate(pieces.text)]
         table, sizes = np.frombuffer(b"".join(raw), np.uint8), np.array([len(x) for x in raw])
         starts = np.cumsum(sizes) - sizes
