@@ -92,3 +92,19 @@ def test_redaction(spark):
 def test_masking_overlaps():
     spans = [{"start": 2, "kind": 2, "end": 6}, {"start": 4, "kind": 3, "end": 9}, {"start": 9, "kind": 0, "end": 10}]
     assert pii.masked("ab345678901", spans) == "ab[CARD][EMAIL]1"
+
+
+def graph(spark, rows):
+    return spark.createDataFrame(rows, "pattern string, instance string, n long, level int")
+
+
+def test_rounds_reach_the_fixpoint(spark):
+    rows = [("P1", f"s{i}", 1, pii.SEED) for i in range(85)]
+    rows += [(p, f"i{i}", 1, pii.IDENTIFIER) for p in ("P1", "P2") for i in range(15)] + [("P2", "word", 1, pii.PLAIN)]
+    assert {r.pattern for r in pii.settled(graph(spark, rows)).collect()} == {"P1", "P2"}
+    # each pattern of the chain shares its instances with the next
+    chain = [("C0", f"s{i}", 100, pii.SEED) for i in range(5)]
+    chain += [(f"C{k}", f"{k + d}-{i}", 1 if d else 1000, pii.IDENTIFIER) for k in range(9) for d in (0, 1) if k + d for i in range(5)]
+    got = {r.pattern for r in pii.settled(graph(spark, chain)).collect()}
+    assert got == {f"C{k}" for k in range(9)}
+    assert pii.settled(graph(spark, [])).count() == 0

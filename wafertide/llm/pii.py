@@ -47,7 +47,8 @@ class Settings:
     word_length: int = 32  # of a pattern's word, its last characters
     confidence: float = 0.8
     support: int = 3
-    rounds: int = 4
+    rounds: int = 1000  # a limit that raises, not an end
+    epsilon: float = 1e-6
     seeds: str = r"AKIA[0-9A-Z]{16}|[0-9a-f]{32,64}"
 
 
@@ -142,18 +143,17 @@ def marked(docs: DataFrame, keep: list, name: str, cfg: Settings = Settings()) -
     return docs.select(*keep, scan(F.col("text")).alias(name))
 
 
-def learn(found: DataFrame, cfg: Settings = Settings()) -> DataFrame:
-    """``pattern`` of the accepted lexical patterns, from rows with an array ``found``."""
-    edges = found.select(F.explode("found").alias("c")).select(
-        F.explode("c.patterns").alias("pattern"), F.col("c.instance").alias("instance"), (F.col("c.level") % 4).alias("level")
-    )
-    edges = written(edges.groupBy("pattern", "instance").agg(F.count("*").alias("n"), F.max("level").alias("level")), "patterns")
-    accepted = None
+def settled(edges: DataFrame, cfg: Settings = Settings()) -> DataFrame:
+    """``pattern`` of the accepted patterns at the fixpoint, from ``pattern, instance, n, level``.
+
+    Trust only rises, so rounds run until no pattern is newly accepted and no confidence rises by more than ``epsilon``.
+    """
+    before = None
     for _ in range(cfg.rounds):
         trust = F.when(F.col("level") == SEED, 1.0).otherwise(0.0)
         graph = edges
-        if accepted is not None:
-            known = edges.where(F.col("level") == IDENTIFIER).join(accepted, "pattern")
+        if before is not None:
+            known = edges.where(F.col("level") == IDENTIFIER).join(before.where("good"), "pattern")
             known = known.groupBy("instance").agg(F.max("confidence").alias("best"))
             graph = edges.join(known, "instance", "left")
             trust = F.greatest(trust, F.when(F.col("level") == IDENTIFIER, F.coalesce("best", F.lit(0.0))).otherwise(0.0))
@@ -161,13 +161,25 @@ def learn(found: DataFrame, cfg: Settings = Settings()) -> DataFrame:
             (F.sum(F.col("n") * F.col("trust")) / F.sum("n")).alias("confidence"),
             F.count_if(F.col("trust") >= cfg.confidence).alias("support"),
         )
-        good = scored.where((F.col("confidence") >= cfg.confidence) & (F.col("support") >= cfg.support))
-        now = written(good.select("pattern", "confidence"), "accepted")
-        settled = accepted is not None and accepted.count() == now.count()
-        accepted = now
-        if settled:
-            break
-    return accepted.select("pattern")
+        good = (F.col("confidence") >= cfg.confidence) & (F.col("support") >= cfg.support)
+        now = written(scored.select("pattern", "confidence", good.alias("good")), "scored")
+        if before is None:
+            moved = now.where("good")
+        else:
+            last = before.select("pattern", F.col("confidence").alias("was"), F.col("good").alias("had"))
+            moved = now.join(last, "pattern").where((F.col("good") & ~F.col("had")) | (F.col("confidence") - F.col("was") > cfg.epsilon))
+        if not moved.limit(1).count():
+            return now.where("good").select("pattern")
+        before = now
+    raise RuntimeError(f"patterns have not settled in {cfg.rounds} rounds")
+
+
+def learn(found: DataFrame, cfg: Settings = Settings()) -> DataFrame:
+    """``pattern`` of the accepted lexical patterns, from rows with an array ``found``."""
+    edges = found.select(F.explode("found").alias("c")).select(
+        F.explode("c.patterns").alias("pattern"), F.col("c.instance").alias("instance"), (F.col("c.level") % 4).alias("level")
+    )
+    return settled(written(edges.groupBy("pattern", "instance").agg(F.count("*").alias("n"), F.max("level").alias("level")), "patterns"), cfg)
 
 
 def added(rows: DataFrame, accepted: DataFrame) -> DataFrame:
