@@ -108,3 +108,36 @@ def test_rounds_reach_the_fixpoint(spark):
     got = {r.pattern for r in pii.settled(graph(spark, chain)).collect()}
     assert got == {f"C{k}" for k in range(9)}
     assert pii.settled(graph(spark, [])).count() == 0
+
+
+def test_identifiers_without_marks(spark):
+    rng = random.Random(4)
+    forms = {
+        "my ssn is {}": "123-45-6789", "passport number {}": "AB123456", "account no. {}": "8837261", "id #{}": "A1234567",
+        "password='{}'": "hunter22x", "key:\n  {}": "ab12cd34", "token => {}": "zz91qq", "iban: {}": "DE89 3704 0044 0532 0130 00",
+        "pin: {}": "4821", "write {} for details": "x-7711",
+    }
+    rows, spans = [], {}
+    for k, (form, value) in enumerate(forms.items()):
+        words = prose(rng, 6)
+        for i in range(24):
+            rows.append((1000 * k + i, f"{prose(rng, 5)} {form.format(f'user{i}@mail.example.org')} {prose(rng, 3)}"))
+        text = f"{words} {form.format(value)} {words}"
+        rows.append((1000 * k + 500, text))
+        spans[1000 * k + 500] = f"id:{text.index(value)}:{text.index(value) + len(value)}"
+        rows += [(1000 * k + 600 + i, f"the year {2000 + i} and plain words number {i}") for i in range(6)]
+    got = {r.doc_id: r.spans for r in pii.find(frame(spark, rows)).collect()}
+    assert {i: got[i] for i in spans} == spans
+    assert not [i for i, s in got.items() if "id:" in s and i not in spans]
+
+
+def test_plain_words_count_against_a_pattern(spark):
+    """Every pattern's total equals a plain count, and a common word before an identifier is no pattern."""
+    rng = random.Random(5)
+    rows = [(i, f"{prose(rng, 4)} send to user{i}@mail.example.org now") for i in range(9)]
+    rows += [(50 + i, f"words go to {w} now and to {w} again") for i, w in enumerate(["home"] * 9)] + [(99, "go to a1234567 now")]
+    docs = frame(spark, rows)
+    got = {r.doc_id: r.spans for r in pii.find(docs).collect()}
+    assert got[99] == ""
+    wanted = spark.createDataFrame([("to _",), ("send to _",), ("_ now",), ("absent _",)], "pattern string")
+    assert {r.pattern: r.total for r in pii.totals(docs, wanted).collect()} == {"to _": 28, "send to _": 9, "_ now": 19}

@@ -1,13 +1,16 @@
 """Personal data: fixed patterns, and bootstrapped contextual extraction of identifiers that no fixed pattern knows.
 
 Base spans are e-mail addresses, IPv4 addresses, card numbers and phone numbers.  Bootstrapping (after DIPRE, Brin
-1998, and Basilisk, Thelen and Riloff 2002): every token behind a cue mark (``:``, ``=`` or a double quote) is an
-instance, and the one to three words that end in the mark are its lexical patterns.  Seeds are the base spans and
-tokens of well-known credential shapes.  Rounds on the pattern-instance graph, which Spark aggregates over the whole
-corpus: a pattern's confidence is the trusted share of all its instances, plain words included; an instance that is
-no seed has the trust of its best accepted pattern.  A pattern is accepted with ``support`` distinct trusted instances
-and ``confidence``.  Behind an accepted pattern each identifier-shaped token (six characters at least, a digit among
-them) becomes a span of kind ``id``.  Spans that touch a base span are not added.
+1998, and Basilisk, Thelen and Riloff 2002): every word is an instance, wherever it stands, and the one to three words
+on its left and on its right are its lexical patterns.  White space, quotes, brackets, commas, semicolons and the signs
+``#$*`` part words, and a word ends behind its marks ``:`` and ``=``, so any of these may stand before a value; base
+spans and values written in groups (``DE89 3704 0044``) are one word.  Seeds are the base spans and tokens of well-known
+credential shapes.  Rounds on the pattern-instance graph, which Spark aggregates over the whole corpus: a pattern's
+confidence is the trusted share of all its instances, plain words included; an instance that is no seed has the trust
+of its best accepted pattern.  A pattern is accepted with ``support`` distinct trusted instances and ``confidence``;
+rounds run to the fixpoint.  Plain words never gain trust, so they are only counted, in a second scan, and only for
+patterns with enough seeds and identifiers.  Behind or before an accepted pattern each identifier-shaped token (four
+characters at least, a digit among them) becomes a span of kind ``id``.  Spans that touch a base span are not added.
 
 Defined results: a null text is an empty one and has no span.  Ties and repeated rows are judged each for itself and
 count each in the graph.  An empty table gives no row.  Other columns are ignored, or kept by ``redact``.
@@ -16,9 +19,12 @@ count each in the graph.  An empty table gives no row.  Other columns are ignore
 from __future__ import annotations
 
 import re
+import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,9 +39,13 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile("[0-9]")
-_CUE = re.compile(r'[:="](?=[ \t]?[^\s:="])')
-_TOKEN = re.compile(r'[^\s"\'<>,;]+')
-_SHAPE = re.compile(r"(?=[^0-9]*[0-9])[A-Za-z0-9._@+/=-]{6,}")
+_WORD = re.compile(r"""[^\s:=,;<>"'#$()*`{}\[\]]++(?:[:=]++>?)?|[:=]++>?""")
+_SHAPE = re.compile(r"(?=[^0-9]*[0-9])[A-Za-z0-9._@+/=-]{4,}")
+# values written in groups: account numbers like an IBAN, and digits
+_GROUPS = re.compile(
+    r"(?<![A-Za-z0-9])(?:[A-Z]{2}[0-9]{2}(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?|[0-9]{2,}(?: [0-9]{2,}){1,7})(?![A-Za-z0-9])"
+)
+BITS = 26  # of the hash that preselects patterns to count
 SPAN = "array<struct<start:int,kind:int,end:int>>"
 CANDIDATE = "array<struct<start:int,end:int,instance:string,level:int,patterns:array<string>>>"
 PLAIN, IDENTIFIER, SEED = 0, 1, 2
@@ -94,35 +104,73 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def instances(text: str, base: list[tuple[int, int, int]], cfg: Settings, seed: re.Pattern) -> list[tuple]:
-    """(start, end, instance, level, patterns) of every token behind a cue mark."""
-    out, b = [], 0
-    for m in _CUE.finditer(text):
-        at = m.end() + (text[m.end()] in " \t")
-        token = _TOKEN.match(text, at)
-        if not token:
-            continue
-        start, end = at, at + len(token[0].rstrip(".:!?)"))
-        if end <= start:
-            continue
-        while b < len(base) and base[b][2] <= start:
-            b += 1
-        met = next((x for x in base[b:] if x[0] < end), None) if b < len(base) and base[b][0] < end else None
-        if met:
-            start, end, level = met[0], met[2], SEED
-        elif seed.fullmatch(text, start, end):
-            level = SEED
+def merged(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """(start, end, level) of what is one word though it may hold several: base spans, and groups that touch none."""
+    out: list[tuple[int, int, int]] = []
+    for s, _, e in base:
+        if out and s < out[-1][1]:
+            out[-1] = (out[-1][0], max(e, out[-1][1]), SEED)
         else:
-            level = IDENTIFIER if _SHAPE.fullmatch(text, start, end) else PLAIN
-        span = cfg.words * (cfg.word_length + 1)
-        left = _DIGIT.sub("0", text[max(0, m.end() - span) : m.end()].lower()).split()[-cfg.words :]
-        left = [w[-cfg.word_length :] for w in left]
-        out.append((start, end, text[start:end].lower(), level + 4 * bool(met), [" ".join(left[-k:]) for k in range(1, len(left) + 1)]))
+            out.append((s, e, SEED))
+    if not _DIGIT.search(text):
+        return out
+    groups, b = [], 0
+    for m in _GROUPS.finditer(text):
+        while b < len(out) and out[b][1] <= m.start():
+            b += 1
+        if b == len(out) or out[b][0] >= m.end():
+            groups.append((m.start(), m.end(), IDENTIFIER))
+    return sorted(out + groups)
+
+
+def words(text: str, whole: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """(start, end, level) of all words in order; the level is None for those that are still to be judged."""
+    out, at = [], 0
+    for span in [*whole, (len(text), len(text), None)]:
+        out += [(*m.span(), None) for m in _WORD.finditer(text, at, span[0])]
+        if span[0] < span[1]:
+            out.append(span)
+        at = span[1]
+    return out
+
+
+def forms(text: str, whole: list[tuple[int, int, int]], word_length: int) -> list[str]:
+    """The forms that the same words have in patterns: lower case, digits as 0, no white space, the last characters."""
+    out, at = [], 0
+    for start, end, _ in [*whole, (len(text), len(text), None)]:
+        out += _WORD.findall(_DIGIT.sub("0", text[at:start].lower()))
+        if start < end:
+            out.append("".join(_DIGIT.sub("0", text[start:end].lower()).split()))
+        at = end
+    return [w if len(w) <= word_length else w[-word_length:] for w in out]
+
+
+def instances(text: str, base: list[tuple[int, int, int]], cfg: Settings, seed: re.Pattern) -> list[tuple]:
+    """(start, end, instance, level, patterns) of every seed and every identifier-shaped word."""
+    out, shown, whole = [], None, merged(text, base)
+    for i, (start, end, level) in enumerate(words(text, whole)):
+        met = level == SEED
+        if level is None:
+            # a mark ends a word that a value follows; at a word's end, = may fill a value up
+            if text[end - 1] == "=" and end < len(text) and not text[end].isspace():
+                end = start + len(text[start:end].rstrip(":="))
+            end = start + len(text[start:end].rstrip(".:!?"))
+            if seed.fullmatch(text, start, end):
+                level = SEED
+            elif _SHAPE.fullmatch(text, start, end):
+                level = IDENTIFIER
+            else:
+                continue
+        shown = shown or forms(text, whole, cfg.word_length)
+        left, right = shown[max(0, i - cfg.words) : i], shown[i + 1 : i + 1 + cfg.words]
+        patterns = [" ".join(left[-k:]) + " _" for k in range(1, len(left) + 1)]
+        patterns += ["_ " + " ".join(right[:k]) for k in range(1, len(right) + 1)]
+        out.append((start, end, text[start:end].lower(), level + 4 * met, patterns))
     return out
 
 
 def marked(docs: DataFrame, keep: list, name: str, cfg: Settings = Settings()) -> DataFrame:
-    """``keep`` columns and a struct ``name``: ``spans`` (base) and ``found`` (tokens behind cues)."""
+    """``keep`` columns and a struct ``name``: ``spans`` (base) and ``found`` (seeds and identifiers)."""
 
     @F.arrow_udf(f"spans {SPAN}, found {CANDIDATE}")
     def scan(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -174,16 +222,90 @@ def settled(edges: DataFrame, cfg: Settings = Settings()) -> DataFrame:
     raise RuntimeError(f"patterns have not settled in {cfg.rounds} rounds")
 
 
-def learn(found: DataFrame, cfg: Settings = Settings()) -> DataFrame:
-    """``pattern`` of the accepted lexical patterns, from rows with an array ``found``."""
+def totals(docs: DataFrame, wanted: DataFrame, cfg: Settings = Settings()) -> DataFrame:
+    """``pattern, total``: all words of ``docs`` in each wanted pattern.
+
+    Workers get a bitmap of the wanted patterns' hashes, whose size is fixed, and count what it lets through; the join
+    then drops the others.  A pattern's words extend those of a shorter one, which has its instances and more and is so
+    wanted too; so the longer ones are only looked up behind a hit.
+    """
+    spark = docs.sparkSession
+    place = F.crc32(F.col("pattern").cast("binary")).bitwiseAND((1 << BITS) - 1).cast("int")
+    bits = np.zeros(1 << BITS, bool)
+    bits[wanted.select(place.alias("place")).distinct().toArrow().column("place").to_numpy()] = True
+    sent = spark.sparkContext.broadcast(np.packbits(bits, bitorder="little").tobytes())
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmap, counts, mask, known = sent.value, Counter(), (1 << BITS) - 1, {}
+
+        def hit(pattern: str) -> bool:
+            h = zlib.crc32(pattern.encode("utf-8", "replace")) & mask
+            return bool(bitmap[h >> 3] >> (h & 7) & 1)
+
+        def out() -> pa.RecordBatch:
+            got = pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["pattern", "n"])
+            counts.clear()
+            return got
+
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                if not text:
+                    continue
+                shown = forms(text, merged(text, base_spans(text)), cfg.word_length)
+                last = len(shown) - 1
+                for i, word in enumerate(shown):
+                    sides = known.get(word)
+                    if sides is None:
+                        if len(known) >= 1 << 18:
+                            known.clear()
+                        got = hit(f"{word} _"), hit(f"_ {word}")
+                        sides = known[word] = got if any(got) else ()
+                    if not sides:
+                        continue
+                    behind, before = sides
+                    if behind and i < last:
+                        pattern = word
+                        counts[f"{pattern} _"] += 1
+                        for j in range(i - 1, max(-1, i - cfg.words), -1):
+                            pattern = f"{shown[j]} {pattern}"
+                            if not hit(f"{pattern} _"):
+                                break
+                            counts[f"{pattern} _"] += 1
+                    if before and i:
+                        pattern = f"_ {word}"
+                        counts[pattern] += 1
+                        for j in range(i + 1, min(last + 1, i + cfg.words)):
+                            pattern = f"{pattern} {shown[j]}"
+                            if not hit(pattern):
+                                break
+                            counts[pattern] += 1
+                if len(counts) > 100_000:
+                    yield out()
+        yield out()
+
+    counted = docs.select("text").mapInArrow(count, "pattern string, n long")
+    return counted.join(wanted.select("pattern"), "pattern", "left_semi").groupBy("pattern").agg(F.sum("n").alias("total"))
+
+
+def learn(found: DataFrame, docs: DataFrame, cfg: Settings = Settings()) -> DataFrame:
+    """``pattern`` of the accepted lexical patterns, from rows with an array ``found`` and the texts that it comes from.
+
+    Patterns that could not be accepted if all their seeds and identifiers were trusted leave the graph at once.
+    """
     edges = found.select(F.explode("found").alias("c")).select(
         F.explode("c.patterns").alias("pattern"), F.col("c.instance").alias("instance"), (F.col("c.level") % 4).alias("level")
     )
-    return settled(written(edges.groupBy("pattern", "instance").agg(F.count("*").alias("n"), F.max("level").alias("level")), "patterns"), cfg)
+    edges = written(edges.groupBy("pattern", "instance").agg(F.count("*").alias("n"), F.max("level").alias("level")), "patterns")
+    wanted = edges.groupBy("pattern").agg(F.sum("n").alias("known"), F.count("*").alias("most")).where(F.col("most") >= cfg.support)
+    wanted = written(wanted.select("pattern", "known"), "wanted")
+    able = wanted.join(totals(docs, wanted, cfg), "pattern").where(F.col("known") / F.col("total") >= cfg.confidence)
+    able = written(able, "able")
+    plain = able.select("pattern", F.lit(None).cast("string").alias("instance"), (F.col("total") - F.col("known")).alias("n"), F.lit(PLAIN).alias("level"))
+    return settled(written(edges.join(able.select("pattern"), "pattern").unionByName(plain.where("n > 0")), "graph"), cfg)
 
 
 def added(rows: DataFrame, accepted: DataFrame) -> DataFrame:
-    """``row, more``: new spans of rows with ``row, found``; identifiers behind an accepted pattern."""
+    """``row, more``: new spans of rows with ``row, found``; identifiers in an accepted pattern."""
     tokens = rows.select("row", F.explode("found").alias("c")).where(F.col("c.level").isin(IDENTIFIER, SEED))
     tokens = tokens.select("row", "c.start", "c.end", F.explode("c.patterns").alias("pattern")).join(accepted, "pattern", "left_semi")
     span = F.struct(F.col("start"), F.lit(len(KINDS) - 1).alias("kind"), F.col("end"))
@@ -199,7 +321,7 @@ def find(docs: DataFrame, cfg: Settings = Settings()) -> DataFrame:
     """One row per document: ``doc_id``, base counts, ``base_sha256`` and all ``spans``."""
     rows = marked(docs, ["doc_id"], "m", cfg).select(F.monotonically_increasing_id().alias("row"), "doc_id", "m.*")
     rows = written(rows, "pii")
-    more = added(rows, learn(rows, cfg))
+    more = added(rows, learn(rows, docs, cfg))
     full = rows.drop("found").join(more, "row", "left")
     every = F.sort_array(F.concat("spans", F.coalesce("more", F.array().cast(SPAN))))
     counts = [F.size(F.expr(f"filter(spans, s -> s.kind = {k})")).cast("long").alias(f"n_{n}") for k, n in enumerate(KINDS[:-1])]
@@ -227,7 +349,7 @@ def redact(docs: DataFrame, cfg: Settings = Settings()) -> DataFrame:
     rows = marked(docs, names, m, cfg).withColumn(row, F.monotonically_increasing_id())
     rows = written(rows, "pii-texts")
     small = rows.select(F.col(row).alias("row"), F.col(f"{m}.found").alias("found"))
-    more = written(added(small, learn(small, cfg)).select(F.col("row").alias(row), F.col("more").alias(spans)), "more-spans")
+    more = written(added(small, learn(small, rows, cfg)).select(F.col("row").alias(row), F.col("more").alias(spans)), "more-spans")
     every = F.concat(f"{m}.spans", F.coalesce(spans, F.array().cast(SPAN)))
 
     @F.arrow_udf("string")
