@@ -107,6 +107,13 @@ def test_keep_first(spark):
     assert simhash.keep_first(frame(spark, [])).count() == 0
 
 
+def test_keep_first_with_one_id_in_two_groups(spark):
+    """Id 1 is the first of one group and a loser in another; neither group may vanish."""
+    one, two = (" ".join(f"{w}{i}" for i in range(40)) for w in ("river", "stone"))
+    kept = simhash.keep_first(frame(spark, [(0, two), (1, two), (1, one), (2, one), (2, one)]))
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(0, two), (1, one)]
+
+
 def test_components(spark):
     rng = random.Random(9)
     edges = [(i, i + 1) for i in range(0, 300)] + [(1000, 1000 + i) for i in range(1, 200)]

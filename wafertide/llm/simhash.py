@@ -217,12 +217,13 @@ def keep_first(docs: DataFrame, radius: int = 4) -> DataFrame:
     found = grouped(marked, radius)
     losers = written(
         marked.join(found, "fp")
-        .where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .select("doc_id")
         .where("doc_id is not null")
-        .distinct(),
+        .groupBy("doc_id")
+        .agg(F.max(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("first"))
+        .where("not first")
+        .select("doc_id"),
         "losers",
-    )  # its size on disk decides whether texts have to be shuffled
+    )  # ids that are first of no group; its size on disk decides whether texts have to be shuffled
     repeated = marked.groupBy("doc_id").count().where("count > 1 or doc_id is null").limit(1).count() > 0
     kept = docs.join(losers, "doc_id", "left_anti").select(*names)
     if not repeated:
