@@ -36,6 +36,33 @@ def test_ids_equal_the_library(library, tiny):
         assert pieces.decode(np.array(got, np.uint32)) == library.decode(got)
 
 
+def test_long_units_equal_the_library(library):
+    """Runs without spaces: cut at safe borders, and what stays long a position at a time, in linear time."""
+    import time
+
+    pieces, rng = own.Pieces(), random.Random(4)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    runs = ["".join(rng.choice(letters) for _ in range(3000)), "".join(rng.choice("etaoin") for _ in range(3000)), "a" * 3001, "ab" * 1500]
+    runs += [" " * 5000, "-" * 777, "".join(chr(0x4E00 + rng.randrange(5000)) for _ in range(4000)), "国" * 900, "é𝄞" * 400]
+    runs += ["".join(rng.choice(letters + "漢字é▁=_-") for _ in range(900)) for _ in range(20)]
+    for t in runs:
+        assert ids(pieces, t) == library.encode(t), t[:40]
+    start = time.time()
+    pieces.units(["▁" + "".join(rng.choice(letters) for _ in range(50_000)), "▁" + "汉" * 20_000])
+    assert time.time() - start < 5
+    some = [i for i in np.flatnonzero(pieces.reached).tolist() if i % 11 == 0]
+    a, b = (np.array([rng.choice(some) for _ in range(4000)]) for _ in range(2))
+    assert pieces.stay_apart(a, b).tolist() == [pieces.apart(x, y) for x, y in zip(a.tolist(), b.tolist())]
+
+
+def test_bounds_change_no_result(library):
+    """A small memory and few units at a time give the same ids."""
+    rng = random.Random(5)
+    texts = [prose(rng, 200), None, "", "x" * 500, prose(rng, 2000)] * 2
+    small = own.Coder(remembered=2000, together=50)
+    assert small(texts) == [np.array(library.encode(t or ""), "<u4").tobytes() for t in texts]
+
+
 def test_round_trip(spark, library):
     rng = random.Random(2)
     rows = [*AWKWARD, (50, "▁ meta ▁"), (51, prose(rng, 3000)), (52, " lead"), (53, "trail ")]

@@ -16,15 +16,23 @@ merges, time is the score: undo the later of the two pieces' last merges, again
 that then face each other would merge before the merge just undone.  A piece whose scores don't fall is merged
 step by step instead.  Recent answers stay in a table of fixed size.  Characters without a piece become their bytes.
 
-Defined results: null and empty texts have no id and decode to the empty text.  U+2581 itself decodes to a space, as
-in the library.  Repeated rows are encoded alike.  An empty table gives no row.  Other columns are ignored.
+No merge crosses a border between two characters that stand side by side in no piece, so units above ``LONG``
+characters are first cut at such borders (scripts without spaces mostly fall into single characters).  What is longer
+still, such as one letter a million times, goes through the same Viterbi a position at a time, without numpy calls: its
+time and memory are linear.
+
+Defined results: null and empty texts have no id and decode to the empty text.  Very long texts are coded whole, a
+bounded number of units at a time.  U+2581 itself decodes to a space, as in the library.  Repeated rows are encoded
+alike.  An empty table gives no row.  Other columns are ignored.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, cached_property
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +46,7 @@ META = "▁"
 MODEL = "piece_bpe_32k.model"
 _UNIT = re.compile(f"{META}*[^{META}]+|{META}+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+LONG = 64  # characters of a unit that advances with others
 
 
 class Pieces:
@@ -176,8 +185,83 @@ class Pieces:
             back[end] = np.maximum(arc[best, every], 1)  # a character without a piece stands alone
         return piece, back
 
+    @cached_property
+    def inner(self) -> np.ndarray:
+        """Sorted pairs of neighbouring characters within pieces, as one number each."""
+        return np.array(sorted({ord(a) << 21 | ord(b) for t in self.id for a, b in zip(t, t[1:])}), np.int64)
+
+    def segments(self, unit: str) -> list[str]:
+        """A unit cut at the borders that no merge can cross."""
+        codes = np.frombuffer(unit.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+        pairs = codes[:-1] << 21 | codes[1:]
+        at = np.minimum(np.searchsorted(self.inner, pairs), len(self.inner) - 1)
+        cuts = [0, *(np.flatnonzero(self.inner[at] != pairs) + 1).tolist(), len(unit)]
+        return [unit[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    @cached_property
+    def plain(self) -> tuple:
+        """The tables of ``apart`` as Python objects, for one pair at a time."""
+        pairs = dict(zip(self.pair.tolist(), self.pair_points.tolist()))
+        return pairs, self.left.tolist(), self.right.tolist(), self.points.tolist(), {self.text[i]: i for i in np.flatnonzero(self.reached).tolist()}, {}
+
+    def apart(self, a: int, b: int) -> bool:
+        """``stay_apart`` of one pair of pieces."""
+        if self.stepwise[a] or self.stepwise[b]:
+            return self.merged(self.text[a] + self.text[b]) == [self.text[a], self.text[b]]
+        pairs, left, right, points, _, _ = self.plain
+        limit, behind = -np.inf, False
+        while True:
+            score = pairs.get(a << 32 | b)
+            if score is not None and (score > limit or score == limit and behind):
+                return False
+            if left[a] < 0 and left[b] < 0:
+                return True
+            behind = left[a] < 0 or (left[b] >= 0 and points[b] <= points[a])
+            if behind:
+                limit, b = points[b], left[b]
+            else:
+                limit, a = points[a], right[a]
+
+    def single(self, unit: str) -> bytes:
+        """Ids of one long unit: the Viterbi of ``viterbi``, a position at a time."""
+        ids, said = self.plain[4], self.plain[5]
+        piece, back = [-1] * (len(unit) + 1), bytearray(len(unit) + 1)
+        for end in range(1, len(unit) + 1):
+            found, step = -2, 1
+            for length in range(min(end, self.longest), 0, -1):
+                here = ids.get(unit[end - length : end])
+                if here is None:
+                    continue
+                last = piece[end - length]
+                ok = last < 0 or said.get(last << 32 | here)
+                if ok is None:
+                    if len(said) > 1 << 18:
+                        said.clear()
+                    ok = said[last << 32 | here] = self.apart(last, here)
+                if ok:
+                    found, step = here, length
+                    break
+            piece[end], back[end] = found, step
+        path, end = [], len(unit)
+        while end:
+            path.append(piece[end])
+            end -= back[end]
+        path = np.array(path[::-1])
+        return self._with_bytes(unit, path) if (path == -2).any() else path.astype("<u4").tobytes()
+
     def units(self, units: list[str]) -> list[bytes]:
         """Ids of each unit, little-endian unsigned 32-bit."""
+        cut = {u: self.segments(u) for u in units if len(u) > LONG}
+        if not cut:
+            return self.together(units)
+        parts = {s for own in cut.values() for s in own}
+        short = list(parts.union(u for u in units if u not in cut) - {s for s in parts if len(s) > LONG})
+        known = dict(zip(short, self.together(short), strict=True))
+        known |= {s: self.single(s) for s in parts if len(s) > LONG}
+        return [b"".join([known[s] for s in cut[u]]) if u in cut else known[u] for u in units]
+
+    def together(self, units: list[str]) -> list[bytes]:
+        """``units`` for units that advance together, those of a length at once."""
         out: list = [b""] * len(units)
         size = np.array([len(u) for u in units], np.int64)
         grain = 1 << np.maximum(np.frexp(size)[1] - 3, 0) * (size > 12)
@@ -212,6 +296,24 @@ class Pieces:
             at += len(self.text[i]) if i >= 0 else 1
         return np.array(ids, "<u4").tobytes()
 
+    @cached_property
+    def spelt(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The bytes that ids stand for, one after the other, and each id's start and size there."""
+        raw = [bytes([self.byte_of[i]]) if i in self.byte_of else b"" if i in self.hidden else t.replace(META, " ").encode() for i, t in enumerate(self.text)]
+        sizes = np.array([len(x) for x in raw])
+        return np.frombuffer(b"".join(raw), np.uint8), np.cumsum(sizes) - sizes, sizes
+
+    def raw(self, ids: np.ndarray) -> bytes:
+        """The bytes of a sequence of ids, looked up for many ids at once."""
+        table, starts, sizes = self.spelt
+        out = []
+        for at in range(0, len(ids), 1 << 16):
+            some = ids[at : at + (1 << 16)]
+            n = sizes[some]
+            total = np.cumsum(n)
+            out.append(table[np.repeat(starts[some] - (total - n), n) + np.arange(int(total[-1]))].tobytes())
+        return b"".join(out)
+
     def decode(self, ids: np.ndarray) -> str:
         parts, raw = [], bytearray()
         for i in ids.tolist():
@@ -238,25 +340,69 @@ def split_units(text: str) -> list[str]:
     return _UNIT.findall(META + text.replace(" ", META)) if text else []
 
 
-def encode(docs: DataFrame, model: str = MODEL, remembered: int = 200_000, slab: int = 1 << 20) -> DataFrame:
-    """``doc_id, text, ids, n_ids``: ids are little-endian unsigned 32-bit.  ``remembered`` bounds the units that a
-    worker keeps, ``slab`` the bytes of text that it splits at a time; neither changes a result."""
+def slabs(texts: pa.Array, size: int) -> Iterator[list]:
+    """The texts as lists of about ``size`` bytes, one text at least."""
+    at, ends = 0, np.cumsum(np.diff(utf8(texts)[1]))
+    while at < len(texts):
+        end = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, side="right")))
+        yield texts.slice(at, end - at).to_pylist()
+        at = end
+
+
+class Coder:
+    """A task's encoder; it remembers the ids of units in up to ``remembered`` bytes, which changes no result."""
+
+    def __init__(self, model: str = MODEL, remembered: int = 32 << 20, together: int = 1 << 17):
+        self.pieces, self.known, self.held, self.remembered, self.together = pieces_of(model), {}, 0, remembered, together
+
+    def lookup(self, units: list[str]) -> list[bytes]:
+        if self.held > self.remembered:
+            self.known.clear()
+            self.held = 0
+        new = list({u for u in units if u not in self.known})
+        found = self.pieces.units(new)
+        self.known.update(zip(new, found, strict=True))
+        self.held += sum(map(len, found)) + 2 * sum(map(len, new)) + 200 * len(new)
+        return [self.known[u] for u in units]
+
+    def __call__(self, texts: list) -> list[bytes]:
+        """Ids of each text, a bounded number of units at a time."""
+        out, rows, units = [[] for _ in texts], [], []
+
+        def flush() -> None:
+            got = self.lookup([u for own in units for u in own])
+            at = 0
+            for row, own in zip(rows, units, strict=True):
+                out[row].append(b"".join(got[at : at + len(own)]))
+                at += len(own)
+            rows.clear()
+            units.clear()
+
+        waiting = 0
+        for row, text in enumerate(texts):
+            if not text:
+                continue
+            found = (m[0] for m in _UNIT.finditer(META + text.replace(" ", META)))
+            while own := list(islice(found, self.together)):
+                rows.append(row)
+                units.append(own)
+                waiting += len(own)
+                if waiting >= self.together:
+                    flush()
+                    waiting = 0
+        flush()
+        return [b"".join(parts) for parts in out]
+
+
+def encode(docs: DataFrame, model: str = MODEL, slab: int = 1 << 20) -> DataFrame:
+    """``doc_id, text, ids, n_ids``: ids are little-endian unsigned 32-bit.  ``slab`` bounds the bytes of text that a
+    worker splits at a time, which changes no result."""
 
     @F.arrow_udf("ids binary, n_ids long")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        pieces, known = pieces_of(model), {}
+        coder = Coder(model)
         for texts in batches:
-            data, at = [], 0
-            ends = np.cumsum(np.diff(utf8(texts)[1]))
-            while at < len(texts):  # units take many times their text's bytes, so a batch goes slab by slab
-                end = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + slab, side="right")))
-                if len(known) > remembered:
-                    known.clear()
-                split = [split_units(t) if t else [] for t in texts.slice(at, end - at).to_pylist()]
-                new = list({u for units in split for u in units if u not in known})
-                known.update(zip(new, pieces.units(new), strict=True))
-                data += [b"".join([known[u] for u in units]) for units in split]
-                at = end
+            data = [d for some in slabs(texts, slab) for d in coder(some)]
             yield pa.StructArray.from_arrays([pa.array(data, pa.binary()), pa.array([len(d) // 4 for d in data], pa.int64())], ["ids", "n_ids"])
 
     return docs.select("doc_id", "text", run("text").alias("r")).select("doc_id", "text", "r.*")
@@ -265,25 +411,18 @@ def encode(docs: DataFrame, model: str = MODEL, remembered: int = 200_000, slab:
 def decode(encoded: DataFrame, model: str = MODEL) -> DataFrame:
     """All columns of ``encoded`` and ``decoded``, the text of its ``ids``.
 
-    A piece's bytes are looked up for all ids of a batch at once; only rows with byte pieces that are no valid UTF-8
-    or with control pieces are put together one by one.
+    Only rows with byte pieces that are no valid UTF-8 or with control pieces are put together one by one.
     """
 
     @F.arrow_udf("string")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         pieces = pieces_of(model)
-        raw = [bytes([pieces.byte_of[i]]) if i in pieces.byte_of else b"" if i in pieces.hidden else t.replace(META, " ").encode() for i, t in enumerate(pieces.text)]
-        table, sizes = np.frombuffer(b"".join(raw), np.uint8), np.array([len(x) for x in raw])
-        starts = np.cumsum(sizes) - sizes
         for batch in batches:
             out = []
             for one in batch.fill_null(b""):
                 ids = np.frombuffer(one.as_buffer(), "<u4")
-                n = sizes[ids]
-                total = np.cumsum(n)
-                data = table[np.repeat(starts[ids] - (total - n), n) + np.arange(int(total[-1]) if len(ids) else 0)].tobytes()
                 try:
-                    text = data.decode()
+                    text = pieces.raw(ids).decode()
                     out.append(text[1:] if text.startswith(" ") else text)
                 except UnicodeDecodeError:
                     out.append(pieces.decode(ids))
@@ -292,8 +431,24 @@ def decode(encoded: DataFrame, model: str = MODEL) -> DataFrame:
     return encoded.withColumn("decoded", run("ids"))
 
 
-def round_trip(docs: DataFrame, model: str = MODEL) -> DataFrame:
-    """``doc_id, n_ids, ids_crc32, exact``: whether decoding gives the text back, with U+2581 as a space."""
-    both = decode(encode(docs, model), model)
-    plain = F.translate(F.coalesce("text", F.lit("")), META, " ")
-    return both.select("doc_id", "n_ids", F.crc32("ids").alias("ids_crc32"), (F.col("decoded") == plain).alias("exact"))
+def round_trip(docs: DataFrame, model: str = MODEL, slab: int = 1 << 20) -> DataFrame:
+    """``doc_id, n_ids, ids_crc32, exact``: whether decoding gives the text back, with U+2581 as a space.
+
+    One function encodes, decodes and compares, so neither texts nor ids travel twice and a task keeps one worker.
+    """
+
+    @F.arrow_udf("n_ids long, ids_crc32 long, exact boolean")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        coder = Coder(model)
+        raw = coder.pieces.raw
+        for texts in batches:
+            rows = []
+            for some in slabs(texts, slab):
+                for text, ids in zip(some, coder(some), strict=True):
+                    want = f" {text.replace(META, ' ')}".encode() if text else b""
+                    rows.append((len(ids) // 4, zlib.crc32(ids), raw(np.frombuffer(ids, "<u4")) == want))
+            n, crc, exact = zip(*rows, strict=True) if rows else ((), (), ())
+            columns = [pa.array(n, pa.int64()), pa.array(crc, pa.int64()), pa.array(exact, pa.bool_())]
+            yield pa.StructArray.from_arrays(columns, ["n_ids", "ids_crc32", "exact"])
+
+    return docs.select("doc_id", run("text").alias("r")).select("doc_id", "r.*")
