@@ -2,18 +2,27 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for scratch tables: what ``spark.checkpoint.dir`` names, a local one only where it is unset."""
+    """The shared folder for scratch tables, which ``spark.checkpoint.dir`` names.
+
+    A session without one is refused, unless it is local: there one process does all, and a temporary folder will do.
+    On a cluster a folder of the machine's own would be lost to the executors.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="wafertide-")
         spark.sparkContext.setCheckpointDir(named)
     return named
@@ -33,6 +42,21 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def meet(left: DataFrame, right: DataFrame, on: list[str], weight: str, total: int, most: int = 1000) -> DataFrame:
+    """Inner join with the stored table ``right``, which has one row per key; ``weight`` counts the rows of ``left`` with it.
+
+    Keys that hold more than one in ``most`` of the ``total`` rows of ``left`` would meet in one task.  They are fewer
+    than ``most``, so they are broadcast; the others are joined as any.
+    """
+    heavy = F.col(weight) * most > F.lit(max(total, most))
+    few = right.where(heavy)
+    if few.isEmpty():
+        return left.join(right, on)
+    return left.join(F.broadcast(few), on).unionByName(
+        left.join(F.broadcast(few.select(*on)), on, "left_anti").join(right.where(~heavy), on)
+    )
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Column names like ``names`` that clash with no column of ``df``, whatever their case."""
     taken, out = {c.lower() for c in df.columns}, []
@@ -59,6 +83,15 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return flat[off[0] : off[-1]], off - off[0]
 
 
+def slabs(column: pa.Array, size: int = 1 << 20) -> Iterator[pa.Array]:
+    """Slices of a string array of about ``size`` bytes, one row at least, which bound what is expanded at a time."""
+    offsets, at = utf8(column)[1], 0
+    while at < len(column):
+        end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + size, side="right")) - 1)
+        yield column.slice(at, end - at)
+        at = end
+
+
 def binaries(flat: np.ndarray, offsets: np.ndarray) -> pa.Array:
     """A binary array whose rows are the bytes between ``offsets``."""
     return pa.Array.from_buffers(
