@@ -141,3 +141,105 @@ def test_plain_words_count_against_a_pattern(spark):
     assert got[99] == ""
     wanted = spark.createDataFrame([("to _",), ("send to _",), ("_ now",), ("absent _",)], "pattern string")
     assert {r.pattern: r.total for r in pii.totals(docs, wanted).collect()} == {"to _": 28, "send to _": 9, "_ now": 19}
+
+
+WORD = re.compile(r"""[^ \t\n\x0b\x0c\r:=,;<>"'#$()*`{}\[\]]+[:=]*|[:=]+""")
+
+
+def plain_words(text, cfg):
+    """(start, end, level, form) of all words, one at a time; forms end with their last bytes."""
+    out, at = [], 0
+    for s, e, level in [*pii.merged(text, pii.base_spans(text)), (len(text), len(text), None)]:
+        out += [(at + m.start(), at + m.end(), None, m[0]) for m in WORD.finditer(text[at:s])]
+        if s < e:
+            out.append((s, e, level, re.sub(r"""[ \t\n\x0b\x0c\r:=,;<>"'#$()*`{}\[\]]""", "_", text[s:e])))
+        at = e
+    form = lambda w: re.sub("[0-9]", "0", re.sub("[A-Z]", lambda m: m[0].lower(), w)).encode()[-cfg.word_length :].decode("utf-8", "ignore")
+    return [(s, e, level, form(w)) for s, e, level, w in out]
+
+
+def contexts(forms, i, cfg):
+    left, right = forms[max(0, i - cfg.words) : i], forms[i + 1 : i + 1 + cfg.words]
+    return [" ".join(left[-k:]) + " _" for k in range(1, len(left) + 1)] + ["_ " + " ".join(right[:k]) for k in range(1, len(right) + 1)]
+
+
+def plain_learn(texts, cfg):
+    """Bootstrapping with dictionaries: accepted patterns and the total of each pattern."""
+    edges, totals = {}, {}
+    for text in texts:
+        words = plain_words(text or "", cfg)
+        forms = [w[3] for w in words]
+        for i, (s, e, level, _) in enumerate(words):
+            value = text[s:e]
+            if level is None:
+                if value.endswith("=") and e < len(text) and text[e] not in " \t\n\x0b\x0c\r":
+                    value = value.rstrip(":=")
+                value = value.rstrip(".:!?")
+                level = pii.SEED if re.fullmatch(cfg.seeds, value) else pii.IDENTIFIER if pii._SHAPE.fullmatch(value) else pii.PLAIN
+            for p in contexts(forms, i, cfg):
+                totals[p] = totals.get(p, 0) + 1
+                if level:
+                    old = edges.setdefault(p, {}).get(value.lower(), (0, 0))
+                    edges[p][value.lower()] = (old[0] + 1, max(old[1], level))
+    trust = {}
+    while True:
+        score = {p: sum(n * (1.0 if level == pii.SEED else trust.get(v, 0.0)) for v, (n, level) in own.items()) / totals[p] for p, own in edges.items()}
+        good = {
+            p for p, own in edges.items()
+            if score[p] >= cfg.confidence and sum(level == pii.SEED or trust.get(v, 0.0) >= cfg.confidence for v, (_, level) in own.items()) >= cfg.support
+        }
+        new = {}
+        for p in good:
+            for v, (_, level) in edges[p].items():
+                if level == pii.IDENTIFIER:
+                    new[v] = max(new.get(v, 0.0), score[p])
+        if all(abs(new.get(v, 0.0) - trust.get(v, 0.0)) < 1e-9 for v in {*new, *trust}):
+            return good, totals
+        trust = new
+
+
+def test_words_equal_a_plain_split():
+    import pyarrow as pa
+
+    rng, cfg = random.Random(6), pii.Settings()
+    pieces = ["ab", "C9", " ", "\n", ":", "==", ",", "é", "漢字", " ", "x" * 40, "é" * 30, "a@b.co", "10.2.3.4", "DE89 3704 0044", "12 345 67", ">", '"', "="]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randrange(0, 30))) for _ in range(600)] + [None, ""]
+    _, _, words, flat, offsets = pii.examined(pa.array(texts), cfg)
+    got = [[] for _ in texts]
+    for i in range(len(words.start)):
+        low = offsets[words.row[i]]
+        before, inside = flat[low : words.start[i]].tobytes().decode(), flat[words.start[i] : words.end[i]].tobytes().decode()
+        got[words.row[i]].append((len(before), len(before) + len(inside), words.form(i)))
+    assert got == [[(s, e, f) for s, e, _, f in plain_words(t or "", cfg)] for t in texts]
+
+
+def test_learning_equals_plain_bootstrapping(spark):
+    rng, cfg = random.Random(7), pii.Settings(support=2, confidence=0.6)
+    codes = [f"{rng.choice('abcxyz')}{rng.randrange(100, 999)}-{rng.randrange(9)}" for _ in range(30)]
+    slots = ["reach {} now", "login: {} ok", "key={}", "the {} thing", "see {}, and", "no {} here", 'say "{}" é']
+    values = lambda: rng.choice([f"u{rng.randrange(40)}@mail.org", rng.choice(codes), rng.choice(codes), rng.choice(["word", "home", "été"])])
+    rows = [(i, " ".join(rng.choice(slots).format(values()) for _ in range(rng.randrange(0, 7)))) for i in range(150)]
+    docs = frame(spark, [*rows, (900, None), (901, "")])
+    found = pii.marked(docs, ["doc_id"], "m", cfg).select("m.found")
+    want, totals = plain_learn([t for _, t in rows], cfg)
+    assert {r.pattern for r in pii.learn(found, docs, cfg).collect()} == want and len(want) > 5
+    asked = spark.createDataFrame([(p,) for p in totals], "pattern string")
+    assert {r.pattern: r.total for r in pii.totals(docs, asked, cfg).collect()} == totals
+
+
+def test_long_texts_take_linear_time():
+    import time
+    import tracemalloc
+
+    import pyarrow as pa
+
+    cfg = pii.Settings()
+    for text in ("a=b1c2&" * 150_000, "k1=" * 300_000, "x9" * 500_000, "é: a1234 " * 60_000, "1 " * 400_000):
+        tracemalloc.start()
+        begin = time.time()
+        _, (found,) = pii.instances(pa.array([text]), cfg, re.compile(cfg.seeds))
+        assert time.time() - begin < 60 and tracemalloc.get_traced_memory()[1] < 1 << 29
+        tracemalloc.stop()
+        assert all(len(name) <= cfg.longest for _, _, name, _, _ in found)
+    (long,) = pii.instances(pa.array([f"key: {'a1' * 5000} end"]), cfg, re.compile(cfg.seeds))[1]
+    assert [(s, e, len(name)) for s, e, name, _, _ in long] == [(5, 10005, 64)]
