@@ -124,3 +124,37 @@ def test_licenses(spark):
     for i, name in enumerate(licenses.TEMPLATES):
         assert {(100 + 10 * i + k, name) for k in (0, 1, 3, 4)} <= {(r[0], r[1]) for r in got}
     assert licenses.scan(frame(spark, [])).count() == 0
+
+
+def test_bands_retrieve_alone(spark):
+    """Evaluated for every window, without looking for the templates' minima first, the bands give the same rows."""
+    rng, whole = random.Random(4), {"mit": licenses.TEMPLATES["mit"], "mpl-2.0": licenses.TEMPLATES["mpl-2.0"], "mit-permission": licenses.TEMPLATES["mit-permission"]}
+    rows = []
+    for i in range(24):
+        words = licenses.plain_words(list(whole.values())[i % 3])
+        if i % 2 and len(words) > 12:
+            words[rng.randrange(len(words))] = "other"
+        if i % 4 == 3:
+            words = words[: len(words) // 3]
+        rows.append((i, f"{prose(rng, 20)} {' '.join(words)} {prose(rng, 30)}"))
+    docs, found = frame(spark, rows), []
+    for first in (True, False):
+        found.append(sorted(tuple(r) for r in licenses.scan(docs, whole, licenses.Settings(minima_first=first)).collect()))
+    assert found[0] == found[1] and len(found[0]) >= 12
+
+
+def test_band_numbers():
+    cfg = licenses.Settings()
+    assert licenses.bands(cfg, 64, 25) == 83  # 20 shingles of 25 in a window of 124
+    functions, shapes = licenses.shape(cfg, 16, [1, 11, 12])
+    assert functions == licenses.bands(cfg, 16, 1) and shapes[0][0] == 1 and shapes[1][0] == shapes[2][0] == 2
+    for n, (rows, bands) in zip([1, 11, 12], shapes):
+        need = -(-4 * n // 5)
+        assert (1 - (need / (28 + n - need)) ** rows) ** bands <= 1e-6 * 1.0001
+
+
+def test_templates_are_read_like_texts(spark):
+    notice = {"own": "Éditions SARL, tous droits réservés pour ÉTÉ toujours"}
+    rows = [(1, f"avant {notice['own']} après"), (2, notice["own"].lower())]
+    got = {r.doc_id for r in licenses.scan(frame(spark, rows), notice).collect()}
+    assert got == {1}  # only A-Z is lower-cased, and a no-break space parts no words
