@@ -55,6 +55,50 @@ def test_against_brute_force(spark, cfg):
         assert [g[1:] for g in got] == [(w[1], w[2], w[0] == w[2]) for w in want]
 
 
+def test_extreme_components(spark):
+    """Vectors whose squares vanish or overflow, and other element types."""
+    rows = [(1, [1e-200, 1e-200]), (2, [2e-200, 2e-200]), (3, [1e200, 1e200]), (4, [2e200, 2e200]), (5, [5e-324, 0.0]), (6, [1e308, 1.0]), (7, [-1e300, 1e300])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in embeddings.near_duplicates(table).collect()}
+    assert [got[i] for i in range(1, 8)] == [(3, 1, True), (3, 1, False), (3, 1, False), (3, 1, False), (1, 5, True), (1, 5, False), (0, 7, True)]
+    whole = spark.createDataFrame([(1, [1, 2]), (2, [2, 4]), (3, [-1, 5])], "vec_id long, embedding array<int>")
+    assert {r.vec_id: r.component_id for r in embeddings.near_duplicates(whole).collect()} == {1: 1, 2: 1, 3: 3}
+
+
+def planted(d, pairs, alone, cosine, seed=5):
+    """Pairs at one cosine among unrelated vectors, and one crowd of near copies."""
+    rng = np.random.default_rng(seed)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    a, other = unit(rng.normal(size=(pairs, d))), rng.normal(size=(pairs, d))
+    away = unit(other - (other * a).sum(axis=1, keepdims=True) * a)
+    crowd = unit(rng.normal(size=d)) + rng.normal(size=(300, d)) * 0.01
+    return np.concatenate([a, cosine * a + np.sqrt(1 - cosine**2) * away, unit(rng.normal(size=(alone, d))), crowd])
+
+
+@pytest.mark.parametrize("pivots", [226, 1024])
+def test_recall_of_planted_pairs(spark, pivots):
+    """Pairs just above the limit in 64 dimensions: at least 0.95 of them, and all of a crowd, as by brute force."""
+    x = planted(64, 600, 1500, 0.9501)
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    there = int((np.triu(unit @ unit.T, 1) >= 0.95).sum())
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    cfg = embeddings.Settings(fewest_pivots=pivots, most_pivots=pivots)
+    got = {r.vec_id: r for r in embeddings.near_duplicates(table, cfg).collect()}
+    found = sum(r.n_links for r in got.values()) // 2
+    assert there >= 600 + 300 * 299 // 2 and found <= there
+    assert sum(got[i].component_id == got[i + 600].component_id for i in range(600)) >= 570
+    assert sum(got[i].n_links for i in range(2700, 3000)) == 300 * 299
+    assert len({got[i].component_id for i in range(2700, 3000)}) == 1
+
+
+def test_crowds_equal_pairs(spark):
+    """Units solved inside their task, short ones solved together and ones that emit pairs give the same rows."""
+    rows = vectors(4)
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    one, two = (sorted((tuple(r) for r in embeddings.near_duplicates(table, embeddings.Settings(dense=n)).collect()), key=repr) for n in (0, 10**6))
+    assert one == two == sorted((tuple(r) for r in embeddings.near_duplicates(table, embeddings.Settings(dense=3)).collect()), key=repr)
+
+
 def test_no_vectors(spark):
     got = embeddings.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>"))
     assert got.columns == ["vec_id", "n_links", "component_id", "kept"] and got.count() == 0

@@ -42,19 +42,18 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def meet(left: DataFrame, right: DataFrame, on: list[str], weight: str, total: int, most: int = 1000) -> DataFrame:
+def meet(left: DataFrame, right: DataFrame, on: list[str], weight: str, most: int = 1000) -> DataFrame:
     """Inner join with the stored table ``right``, which has one row per key; ``weight`` counts the rows of ``left`` with it.
 
-    Keys that hold more than one in ``most`` of the ``total`` rows of ``left`` would meet in one task.  They are fewer
-    than ``most``, so they are broadcast; the others are joined as any.
+    Keys that hold more than one in ``most`` of the rows of ``left`` would meet in one task.  They are fewer than
+    ``most``, so they are broadcast; the others are joined as any.
     """
-    heavy = F.col(weight) * most > F.lit(max(total, most))
-    few = right.where(heavy)
-    if few.isEmpty():
+    total, highest = (x or 0 for x in right.agg(F.sum(weight), F.max(weight)).first())
+    limit = max(total // most, most // 10)  # a key of so few rows is no burden
+    if highest <= limit:
         return left.join(right, on)
-    return left.join(F.broadcast(few), on).unionByName(
-        left.join(F.broadcast(few.select(*on)), on, "left_anti").join(right.where(~heavy), on)
-    )
+    few, rest = right.where(F.col(weight) > limit), right.where(F.col(weight) <= limit)
+    return left.join(F.broadcast(few), on).unionByName(left.join(F.broadcast(few.select(*on)), on, "left_anti").join(rest, on))
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:

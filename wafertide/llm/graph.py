@@ -1,7 +1,7 @@
 """Connected components of an undirected graph by alternating star operations (Kiveris et al., 2014).
 
 Every edge table stays distributed; each round is two aggregations of minima, which combine before their shuffle, and
-two joins, whose hot keys adaptive execution splits.  A round's edges are written to the shared folder.
+two joins, whose hot nodes are joined by broadcast.  Minima and edges are written to the shared folder.
 """
 
 from __future__ import annotations
@@ -9,25 +9,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import meet, written
 
 
 def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
 
-def _stars(edges: DataFrame, large: bool) -> DataFrame:
-    """Large star: link each node's larger neighbours to its smallest neighbour; small star: its smaller ones and itself."""
-    if large:
-        both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        linked = both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("m").alias("u"), "v")
-    else:
-        down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        least = down.groupBy("u").agg(F.min("v").alias("m"))
-        joined = down.join(least, "u")
-        linked = joined.select(F.col("m").alias("u"), "v").unionByName(least.select(F.col("m").alias("u"), F.col("u").alias("v")))
-    return linked.where(F.col("u") != F.col("v")).distinct()
+def _large_star(edges: DataFrame) -> DataFrame:
+    """Link each node's larger neighbours to its smallest neighbour.  A node with many neighbours is hot here."""
+    both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    least = written(both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")), "least")
+    linked = meet(both, least, ["u"], "n").where(F.col("v") > F.col("u")).select(F.least("u", "m").alias("u"), "v")
+    return written(linked.where(F.col("u") != F.col("v")).distinct(), "edges")
+
+
+def _small_star(edges: DataFrame) -> DataFrame:
+    """Link each node's smaller neighbours, of which a large star leaves few, and the node to the smallest of them."""
+    down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    least = down.groupBy("u").agg(F.min("v").alias("m"))
+    linked = down.join(least, "u").select(F.col("m").alias("u"), "v").unionByName(least.select(F.col("m").alias("u"), F.col("u").alias("v")))
+    return written(linked.where(F.col("u") != F.col("v")).distinct(), "edges")
 
 
 def components(edges: DataFrame, left: str, right: str, most: int = 60) -> DataFrame:
@@ -42,7 +44,7 @@ def components(edges: DataFrame, left: str, right: str, most: int = 60) -> DataF
     for _ in range(most):
         if not state[0]:
             break
-        pairs = written(_stars(_stars(pairs, True), False), "edges")
+        pairs = _small_star(_large_star(pairs))
         before, state = state, _state(pairs)
         if before == state:
             break

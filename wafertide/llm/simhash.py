@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, utf8, written
+from .common import fresh, meet, utf8, written
 from .graph import components
 
 BITS = 64
@@ -190,18 +190,19 @@ def links(nodes: DataFrame, radius: int = 4, most: int = 32768) -> DataFrame:
 
 
 def grouped(marked: DataFrame, radius: int = 4) -> DataFrame:
-    """``fp, component_id`` for the distinct fingerprints of ``marked`` (``doc_id, fp``)."""
-    nodes = written(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "fingerprints")
+    """``fp, copies, component_id`` for the distinct fingerprints of ``marked`` (``doc_id, fp``)."""
+    nodes = written(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies")), "fingerprints")
     roots = components(links(nodes.select("fp"), radius), "a", "b")
     placed = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return placed.join(least, "root").select("fp", "component_id")
+    placed = written(placed, "placed")
+    least = written(placed.groupBy("root").agg(F.min("first_id").alias("component_id"), F.count("*").alias("size")), "least")
+    return written(meet(placed, least, ["root"], "size").select("fp", "copies", "component_id"), "groups")
 
 
 def near_duplicates(docs: DataFrame, radius: int = 4) -> DataFrame:
     """One row per document: ``doc_id, fingerprint, component_id``."""
     marked = written(with_fingerprint(docs, ("doc_id",)), "simhash")
-    return marked.join(grouped(marked, radius), "fp").select(
+    return meet(marked, grouped(marked, radius), ["fp"], "copies").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
 
@@ -212,11 +213,11 @@ def keep_first(docs: DataFrame, radius: int = 4) -> DataFrame:
     Rows without an id stay only where their whole group has none, once for each fingerprint.
     """
     names = [F.col(f"`{c}`") for c in docs.columns]
-    fp, group, nth = fresh(docs, "__fp", "__group", "__nth")
+    fp, group = fresh(docs, "__fp", "__group")
     marked = written(with_fingerprint(docs, ("doc_id",)), "simhash")
     found = grouped(marked, radius)
     losers = written(
-        marked.join(found, "fp")
+        meet(marked, found, ["fp"], "copies")
         .where("doc_id is not null")
         .groupBy("doc_id")
         .agg(F.max(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("first"))
@@ -228,10 +229,6 @@ def keep_first(docs: DataFrame, radius: int = 4) -> DataFrame:
     kept = docs.join(losers, "doc_id", "left_anti").select(*names)
     if not repeated:
         return kept
-    from pyspark.sql import Window
-
-    again = with_fingerprint(kept, tuple(names), fp).join(
-        found.select(F.col("fp").alias(fp), F.col("component_id").alias(group)), fp
-    )
-    once = again.withColumn(nth, F.row_number().over(Window.partitionBy("doc_id", fp).orderBy(F.lit(0))))
-    return once.where(F.col("doc_id").eqNullSafe(F.col(group)) & (F.col(nth) == 1)).select(*names)
+    again = with_fingerprint(kept, tuple(names), fp)
+    again = again.join(found.select(F.col("fp").alias(fp), F.col("component_id").alias(group)), fp)
+    return again.where(F.col("doc_id").eqNullSafe(F.col(group))).dropDuplicates(["doc_id", fp]).select(*names)
