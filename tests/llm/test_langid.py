@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 import pyarrow as pa
 from pyspark.sql import functions as F
 
@@ -72,3 +73,44 @@ def test_windows_cover_whole_texts():
     x, row, real = langid.windows(flat, off, 32)
     assert real.tolist() == [3, 32, 32, 6] and row.tolist() == [0, 3, 3, 3]
     assert bytes(x[0][:4]) == b"abc\0" and bytes(x[3][:7]) == b"xxxxxx\0"
+
+
+def test_gradients_equal_differences():
+    """Each parameter's gradient against the finite difference of the weighted cross entropy."""
+    cfg, rng = langid.Settings(window=12, widths=(2, 3), filters=3, embedding=2), np.random.default_rng(1)
+    x, y, weight = rng.integers(0, 6, (5, 12)), np.array([0, 1, 2, 1, 0]), np.array([0.5, 1.0, 2.0])
+    params = [rng.normal(size=s) for s in ((256, 2), (2, 2, 3), (3, 2, 3), (3,), (3,), (6, 3), (3,))]
+
+    def loss():
+        pooled = []
+        for kernel, bias in zip(params[1:3], params[3:5]):
+            conv = np.stack([sum(params[0][x[:, p + i]] @ kernel[i] for i in range(len(kernel))) for p in range(12 - len(kernel) + 1)], 1)
+            pooled.append(conv.max(1) + bias)
+        q = langid.softmax(np.tanh(np.concatenate(pooled, 1)) @ params[5] + params[6])
+        return (-np.log(q[np.arange(5), y]) * weight[y]).mean()
+
+    grads = langid.gradients(params, x, y, weight, cfg)
+    for p, g in zip(params, grads):
+        for at in [tuple(rng.integers(0, n) for n in p.shape) for _ in range(12)] if p is not params[0] else [(i, j) for i in range(6) for j in range(2)]:
+            old, seen = p[at], []
+            for step in (1e-6, -1e-6):
+                p[at] = old + step
+                seen.append(loss())
+            p[at] = old
+            assert abs(g[at] - (seen[0] - seen[1]) / 2e-6) < 1e-6
+
+
+def test_many_labels_are_all_learned(spark):
+    """Eighty languages of an alphabet each: none is left out, and documents of all of them stay."""
+    rng, rows = random.Random(8), []
+    for k in range(80):
+        letters = [chr(0x4E00 + 40 * k + i) for i in range(30)]
+        for i in range(14):
+            rows.append((100 * k + i, " ".join("".join(rng.choice(letters) for _ in range(5)) for _ in range(30)), f"l{k:02d}", "s"))
+    cfg = langid.Settings(epochs=12, filters=32)
+    model = langid.fit(langid.sample(frame(spark, rows), cfg), cfg)
+    assert len(model.langs) == 80
+    kept = langid.keep_identified(frame(spark, rows), cfg=cfg)
+    assert kept.count() >= 0.98 * len(rows)
+    with pytest.raises(ValueError):
+        langid.sample(frame(spark, rows), langid.Settings(most_langs=50))

@@ -9,7 +9,7 @@ over byte pairs, so a batch of windows needs only gathers, additions and a maxim
 
 Defined results: a null text or one without a letter gets ``und`` and score 0.  Repeated rows are predicted alike.
 Without any usable labelled row every text gets ``und`` and score 0.  Equal probabilities fall to the language that
-sorts first.  Other columns are neither read nor returned.
+sorts first.  Very long texts are read whole, window by window.  Other columns are neither read nor returned.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import utf8
+from .common import fresh, utf8
 
 UNKNOWN = "und"
 RESULT = "lang_pred string, score double"
@@ -30,15 +30,17 @@ RESULT = "lang_pred string, score double"
 
 @dataclass(frozen=True)
 class Settings:
-    """``per_lang`` rows at most are sampled for each of the ``max_langs`` most frequent labels; each gives up to
-    ``excerpts`` excerpts of one window.  These bound what training gathers on the driver."""
+    """Every label is learned.  About ``per_lang`` rows are sampled for each, fewer where the labels are so many that the
+    sample would pass ``most_rows``; a row gives up to ``excerpts`` excerpts of one window.  These bound what training
+    gathers on the driver.  A column of more than ``most_langs`` labels is refused as no column of languages."""
 
     window: int = 256
     widths: tuple[int, ...] = (2, 3, 4)
     filters: int = 16
     embedding: int = 8
     per_lang: int = 700
-    max_langs: int = 64
+    most_rows: int = 44_800
+    most_langs: int = 5_000
     excerpts: int = 3
     epochs: int = 6
     batch: int = 64
@@ -67,12 +69,15 @@ def has_letter(text: Column) -> Column:
 
 
 def sample(docs: DataFrame, cfg: Settings) -> list[tuple[str, str]]:
-    """Labelled excerpts, at most ``per_lang * excerpts`` for each language, chosen by hash of id and text."""
+    """Labelled excerpts of all languages, chosen by a hash of the id."""
     labelled = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull()).select("doc_id", "text", "lang")
-    counts = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(cfg.max_langs).collect()
+    counts = labelled.groupBy("lang").count().orderBy("lang").limit(cfg.most_langs + 1).collect()
     if not counts:
         return []
-    share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, 1.2 * cfg.per_lang / r["count"]))])
+    if len(counts) > cfg.most_langs:
+        raise ValueError(f"more than {cfg.most_langs} labels")
+    per_lang = max(8, min(cfg.per_lang, cfg.most_rows // len(counts)))
+    share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, 1.2 * per_lang / r["count"]))])
     draw = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(cfg.seed)), F.lit(1 << 30)) / float(1 << 30)
     picked = labelled.where((draw < F.try_element_at(share, F.col("lang"))) & has_letter(F.col("text")))
     room = F.greatest(F.length("text") - F.lit(cfg.window), F.lit(1))
@@ -84,8 +89,8 @@ def sample(docs: DataFrame, cfg: Settings) -> list[tuple[str, str]]:
         )
         for i in range(cfg.excerpts)
     ]
-    most = int(1.5 * cfg.per_lang) * len(counts)
-    rows = picked.select("lang", F.array(*cuts).alias("cuts"), draw.alias("draw")).orderBy("draw", "lang", "cuts").limit(most)
+    rows = picked.select("lang", F.array(*cuts).alias("cuts"), draw.alias("draw"))
+    rows = rows.orderBy("draw", "lang", "cuts").limit(int(1.5 * per_lang) * len(counts))
     return sorted({(r["lang"], c) for r in rows.collect() for c in r["cuts"]})
 
 
@@ -108,6 +113,34 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
+def gradients(params: list[np.ndarray], x: np.ndarray, y: np.ndarray, weight: np.ndarray, cfg: Settings) -> list[np.ndarray]:
+    """Of the mean of the windows' cross entropies, each times its label's weight, by parameter."""
+    n, f, b = len(cfg.widths), cfg.filters, np.arange(len(y))[:, None]
+    grads = [np.zeros_like(p) for p in params]
+    seen, pooled, tops = params[0][x], [], []  # (batch, window, embedding)
+    for j, w in enumerate(cfg.widths):
+        span = cfg.window - w + 1
+        conv = sum(seen[:, i : i + span] @ params[1 + j][i] for i in range(w))
+        top = conv.argmax(axis=1)
+        pooled.append(np.take_along_axis(conv, top[:, None], axis=1)[:, 0] + params[1 + n + j])
+        tops.append(top)
+    h = np.tanh(np.concatenate(pooled, axis=1))
+    p = softmax(h @ params[-2] + params[-1])
+    p[np.arange(len(y)), y] -= 1
+    p *= weight[y][:, None] / len(y)
+    grads[-2], grads[-1] = h.T @ p, p.sum(axis=0)
+    dz = (p @ params[-2].T) * (1 - h * h)
+    for j, w in enumerate(cfg.widths):
+        g = dz[:, j * f : (j + 1) * f]
+        grads[1 + n + j] = g.sum(axis=0)
+        for i in range(w):
+            chars = x[b, tops[j] + i]
+            vec = params[0][chars]  # (batch, filters, embedding)
+            grads[1 + j][i] = np.einsum("bfd,bf->df", vec, g)
+            np.add.at(grads[0], chars, g[:, :, None] * params[1 + j][i].T[None])
+    return grads
+
+
 def fit(pairs: list[tuple[str, str]], cfg: Settings) -> Model | None:
     """Train on (language, excerpt) pairs with Adam; the same pairs give the same model."""
     if not pairs:
@@ -133,31 +166,7 @@ def fit(pairs: list[tuple[str, str]], cfg: Settings) -> Model | None:
         for at in range(0, len(x), cfg.batch):
             rows = order[at : at + cfg.batch]
             bx, by = x[rows], y[rows]
-            grads = [np.zeros_like(p) for p in params]
-            seen = params[0][bx]  # (batch, window, embedding)
-            pooled, tops = [], []
-            for j, w in enumerate(cfg.widths):
-                span = cfg.window - w + 1
-                conv = sum(seen[:, i : i + span] @ params[1 + j][i] for i in range(w))
-                top = conv.argmax(axis=1)
-                pooled.append(np.take_along_axis(conv, top[:, None], axis=1)[:, 0] + params[1 + n + j])
-                tops.append(top)
-            z = np.concatenate(pooled, axis=1)
-            h = np.tanh(z)
-            p = softmax(h @ params[-2] + params[-1])
-            p[np.arange(len(by)), by] -= 1
-            p *= weight[by][:, None] / len(by)
-            grads[-2], grads[-1] = h.T @ p, p.sum(axis=0)
-            dz = (p @ params[-2].T) * (1 - h * h)
-            b = np.arange(len(by))[:, None]
-            for j, w in enumerate(cfg.widths):
-                g = dz[:, j * f : (j + 1) * f]
-                grads[1 + n + j] = g.sum(axis=0)
-                for i in range(w):
-                    chars = bx[b, tops[j] + i]
-                    vec = params[0][chars]  # (batch, filters, embedding)
-                    grads[1 + j][i] = np.einsum("bfd,bf->df", vec, g)
-                    np.add.at(grads[0], chars, g[:, :, None] * params[1 + j][i].T[None])
+            grads = gradients(params, bx, by, weight, cfg)
             step += 1
             rate = cfg.rate * np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
             for q, g, m, v in zip(params, grads, first, second, strict=True):
@@ -240,11 +249,11 @@ def identify(docs: DataFrame, cfg: Settings = Settings()) -> DataFrame:
     return got.select("doc_id", "held_out", "r.lang_pred", "r.score")
 
 
-def keep_identified(docs: DataFrame, least: float = 0.3, cfg: Settings = Settings()) -> DataFrame:
-    """The documents, all columns, whose language is known with a score of at least ``least``."""
+def keep_identified(docs: DataFrame, lift: float = 1.2, cfg: Settings = Settings()) -> DataFrame:
+    """The documents, all columns, whose language is known: not ``und``, and with a score of at least ``lift`` times that
+    of a blind guess, which falls with the number of languages."""
     model = fit(sample(docs, cfg), cfg)
-    name = "__lang"
-    while name.lower() in {c.lower() for c in docs.columns}:
-        name += "_"
+    least = min(1.0, lift / len(model.langs)) if model and len(model.langs) > 1 else 0.0
+    (name,) = fresh(docs, "__lang")
     got = predict(docs, model, tuple(F.col(f"`{c}`") for c in docs.columns), name)
     return got.where((F.col(f"{name}.lang_pred") != UNKNOWN) & (F.col(f"{name}.score") >= least)).drop(name)
