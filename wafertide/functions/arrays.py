@@ -36,6 +36,11 @@ def roughness(values: Column) -> Column:
     return let(values, lambda v: F.when(F.size(v) < 2, F.lit(0.0)).otherwise(std_pop(first_diff(v))))
 
 
+def normalized(value: Column, within: WindowSpec) -> Column:
+    """Distance from the mean of a window in its population standard deviations."""
+    return (value - F.avg(value).over(within)) / (F.stddev_pop(value).over(within) + 1e-9)
+
+
 def spike(values: Column) -> Column:
     """Largest magnitude; 0 if empty."""
     return F.coalesce(F.array_max(F.transform(values, F.abs)), F.lit(0.0))

@@ -69,13 +69,16 @@ def group_text() -> F.Column:
     return F.concat_ws("|", *GROUP)
 
 
-def lookback(wafers: DataFrame, today: dt.date, cfg: Lookback = Lookback(), include_today: bool = False) -> DataFrame:
+def lookback(wafers: DataFrame, today: dt.date, cfg: Lookback = Lookback(), run_ts: dt.datetime | None = None) -> DataFrame:
     """Wafers (group, wafer_id, first_ts) of the chunks that a backward walk from yesterday would read.
 
+    With ``run_ts`` it is the walk of a first run: it starts from today, whose chunk ends at that time.
+
     Chunk c holds ``chunk_days`` days; the walk ends after the first chunk at which every group seen so far has enough
     wafers.  One scan finds that chunk from per-group counts; days are half-open, so nothing falls between chunks.
     """
-    last = today if include_today else today - dt.timedelta(days=1)
+    last = today - dt.timedelta(days=1) if run_ts is None else today
+    wafers = wafers if run_ts is None else wafers.where(F.col("first_ts") <= F.lit(run_ts))
     age = F.datediff(F.lit(last), F.to_date("first_ts"))
     rows = wafers.withColumn("chunk", F.floor(age / cfg.chunk_days).cast("int"))
     oldest = today - dt.timedelta(days=cfg.days)

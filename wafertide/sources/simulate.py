@@ -51,8 +51,12 @@ def temperature(n: int, start: float = 25.0, peak: float = 300.0, ramp: float =
 
 
 def two_peaks(n: int, base: float = 0.5, at: tuple[float, float] = (0.35, 0.6), height: float = 2.0, width: float = 0.04) -> np.ndarray:
-    x = np.arange(n)
-    return base + sum(height * np.exp(-4 * ((x - p * n) / max(1.0, width * n)) ** 2) for p in at)
+    """A flat level with a bell of ``exp(-4 x * x)``, x from -1 to 1, on the points around each peak."""
+    out, half = np.full(n, base), int(n * width)
+    for p in at:
+        low, high = max(0, int(n * p) - half), min(n, int(n * p) + half)
+        out[low:high] += height * np.exp(-4 * np.linspace(-1, 1, high - low) ** 2)
+    return out
 
 
 def ramp_hold(n: int, base: float = 0.2, jump: float = 0.55, level: float = 2.5) -> np.ndarray:
@@ -63,10 +67,10 @@ def ramp_hold(n: int, base: float = 0.2, jump: float = 0.55, level: float = 2.5)
 def chips_of(w: Wafer) -> list[tuple]:
     rng = np.random.default_rng([w.seed, w.wafer_seq])
     side, n = math.ceil(math.sqrt(w.n_chips)), w.n_points
-    spiked = set(rng.choice(w.n_chips, int(round(w.n_chips * w.spike_share)), replace=False).tolist()) if w.spike_share else set()
+    spiked = set(rng.choice(w.n_chips, int(w.n_chips * w.spike_share), replace=False).tolist()) if w.spike_share else set()
     rows, first = [], int(w.n_chips * w.onset)
     for i in range(w.n_chips):
-        ramp = w.noise if w.even else 1 + (w.noise - 1) * (i - first + 1) / max(1, w.n_chips - first) if i >= first else 1.0
+        ramp = w.noise if w.even else 1 + (w.noise - 1) * (i - first) / max(1, w.n_chips - first) if i >= first else 1.0
         odd = w.two_mode and i % 2 == 1
         temp = temperature(n) + rng.normal(0, w.temp_noise * ramp, n) + (w.offset if odd else 0.0)
         shape = ramp_hold(n) if odd or w.ramp_mode else two_peaks(n)
@@ -106,3 +110,13 @@ def drift(n_normal: int = 15, n_drift: int = 10, final: float = 3.0, **kw) -> li
 def coupling_breakdown(n_normal: int = 15, n_broken: int = 5, offset: float = 15.0, **kw) -> list[Wafer]:
     """Two-mode wafers whose odd chips run warmer after the first ``n_normal``."""
     return [Wafer(f"W{i:03d}", i + 1, two_mode=True, offset=offset if i >= n_normal else 0.0, **kw) for i in range(n_normal + n_broken)]
+
+
+def vibration(n_normal: int = 15, noise: float = 4.0, onset: float = 0.5, **kw) -> list[Wafer]:
+    """Normal wafers, then one whose chips vibrate ever more after ``onset``."""
+    return normal(n_normal, **kw) + [Wafer("W_INTRA", n_normal + 1, noise=noise, onset=onset, **kw)]
+
+
+def spikes(n_normal: int = 15, n_spiked: int = 1, share: float = 0.15, height: float = 5.0, **kw) -> list[Wafer]:
+    """Normal wafers, then wafers where a share of the chips has a resistance spike."""
+    return normal(n_normal, **kw) + [Wafer(f"W_SPIKE{i}", n_normal + i + 1, spike_share=share, spike_height=height, **kw) for i in range(n_spiked)]

@@ -52,8 +52,11 @@ def group_summary(wafers: DataFrame, events: DataFrame, least: int = 5, new_afte
     )
 
 
-def run_summary(known: DataFrame, rows: DataFrame, chips: DataFrame, events: DataFrame) -> DataFrame:
-    """One row per equipment of ``known`` (``eqp_id``): a status and counts of rows, wafers, chips and anomalies."""
+def run_summary(known: DataFrame, rows: DataFrame, chips: DataFrame, events: DataFrame, failed: DataFrame | None = None) -> DataFrame:
+    """One row per equipment of ``known`` (``eqp_id``): a status and counts of rows, wafers, chips and anomalies.
+
+    ``failed`` (``eqp_id, error``) are those whose analysis was given up; their counts are 0 and others go on.
+    """
     raw = rows.groupBy("eqp_id").agg(F.count("*").alias("n_rows"))
     good = chips.groupBy(F.col("equipment_id").alias("eqp_id")).agg(
         F.count("*").alias("n_chips"), F.count_distinct("recipe", "head", "wafer_id").alias("n_wafers")
@@ -61,9 +64,27 @@ def run_summary(known: DataFrame, rows: DataFrame, chips: DataFrame, events: Dat
     found = events.groupBy(F.col("equipment_id").alias("eqp_id")).agg(F.count("*").alias("n_anomalies"))
     out = known.select("eqp_id").distinct().join(raw, "eqp_id", "left").join(good, "eqp_id", "left").join(found, "eqp_id", "left")
     out = out.na.fill(0)
-    has = "temp_raw" in rows.columns
+    has = "temp_raw" in rows.columns or "temp_series" in rows.columns
     status = F.when(F.col("n_rows") == 0, "no_data").when(F.lit(not has), "no_temp_column")
-    return out.withColumn("status", status.when(F.col("n_chips") == 0, "no_valid_temp_data").otherwise("success"))
+    out = out.withColumn("status", status.when(F.col("n_chips") == 0, "no_valid_temp_data").otherwise("success"))
+    if failed is None:
+        return out
+    out = out.join(failed.select("eqp_id", "error"), "eqp_id", "left")
+    counts = {c: F.when(F.col("error").isNull(), F.col(c)).otherwise(0) for c in ("n_rows", "n_chips", "n_wafers", "n_anomalies")}
+    return out.withColumns(counts | {"status": F.when(F.col("error").isNull(), F.col("status")).otherwise("error")})
+
+
+def run_totals(summary: DataFrame) -> DataFrame:
+    """The totals that a run reports: equipment, wafers, chips and anomalies."""
+    return summary.agg(
+        F.count("*").alias("n_equipment"), F.sum("n_wafers").alias("n_wafers"), F.sum("n_chips").alias("n_chips"), F.sum("n_anomalies").alias("n_anomalies")
+    )
+
+
+def first_events(events: DataFrame, n: int = 5) -> DataFrame:
+    """The first ``n`` events of each equipment, as a report shows them, and ``rank``."""
+    order = Window.partitionBy("equipment_id").orderBy("wafer_seq", "recipe", "head", "anomaly_type", "channel", "bond_order")
+    return events.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
 
 
 def baseline_json(states: DataFrame, path: str, cfg: Config = Config()) -> None:
