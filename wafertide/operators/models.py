@@ -4,18 +4,21 @@ The first ``baseline`` tracked wafers train the first model; with a retrain inte
 wafers trains the next.  So a wafer's model number and a training wafer's model number are both arithmetic on the
 wafer's number, and scoring is an equi-join.  Only fitting runs in numpy, one (group, model) per call on a bounded
 number of wafers; chi-square profiles score in the JVM.
+
+A wafer's chips are scored together, so that a model travels once for each wafer and not with each chip.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Autoencoder, Spectrum
 from ..functions import arrays as A
-from ..schema import KEY
+from ..schema import KEY, WAFER
 
 
 def vectors(at: DataFrame, length: int) -> DataFrame:
@@ -81,20 +84,36 @@ def profiles(at: DataFrame, channel: str, cfg: Spectrum = Spectrum()) -> DataFra
     return got.withColumn("threshold", F.coalesce(F.get(limits, F.col("k_noise") - 1), F.lit(float("inf"))))
 
 
+def by_wafer(at: DataFrame, vector: str, models: DataFrame, baseline: int, retrain: int) -> DataFrame:
+    """One row per scored wafer: its ``chips`` (place and vector ``v``) and its model's columns."""
+    rows = at.withColumn("model", model_number(F.col("n"), baseline, retrain)).where("model is not null")
+    chip = F.struct("bond_order", "x", "y", F.col(vector).alias("v"))
+    wafers = rows.groupBy(*WAFER, "wafer_id", "n", "model").agg(F.array_sort(F.collect_list(chip)).alias("chips"))
+    return wafers.join(models, [*KEY, "model"])
+
+
+def by_chip(wafers: DataFrame, scores: Column, name: str, *keep: str) -> DataFrame:
+    """Scored chips of wafers with an array of scores, with their severity against the threshold."""
+    both = F.explode(F.arrays_zip(F.col("chips").alias("c"), scores.alias("s")))
+    rows = wafers.select(*WAFER, "wafer_id", "n", "model", "threshold", *keep, both.alias("b"))
+    rows = rows.select("*", "b.c.bond_order", "b.c.x", "b.c.y", F.col("b.s").alias(name)).drop("b")
+    rows = rows.withColumn("severity", F.col(name) / F.col("threshold"))
+    return rows.withColumn("is_alarm", A.exceeds(F.col(name), F.col("threshold")))
+
+
 def profile_scores(at: DataFrame, channel: str, cfg: Spectrum = Spectrum()) -> DataFrame:
     """Scored chips: ``mp_score`` is the quadratic form of the centred vector in the noise precision."""
-    rows = at.withColumn("model", model_number(F.col("n"), cfg.baseline, cfg.retrain)).where("model is not null")
-    rows = rows.join(profiles(at, channel, cfg), [*KEY, "model"])
-    centred = F.zip_with(f"{channel}_vector", "centre", lambda a, b: a - b)
+    wafers = by_wafer(at, f"{channel}_vector", profiles(at, channel, cfg), cfg.baseline, cfg.retrain)
 
     def form(r):
         dot = lambda row: F.aggregate(F.zip_with(row, r, lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
         parts = F.zip_with(F.transform("precision", dot), r, lambda a, b: a * b)
         return F.aggregate(parts, F.lit(0.0), lambda s, x: s + x)
 
-    rows = rows.withColumn("mp_score", F.when(F.col("k_noise") == 0, 0.0).otherwise(A.let(centred, form)))
-    rows = rows.withColumn("severity", F.col("mp_score") / F.col("threshold"))
-    return rows.withColumn("is_alarm", A.exceeds(F.col("mp_score"), F.col("threshold")))
+    def score(c):
+        return F.when(F.col("k_noise") == 0, 0.0).otherwise(A.let(F.zip_with(c["v"], F.col("centre"), lambda a, b: a - b), form))
+
+    return by_chip(wafers, F.transform("chips", score), "mp_score", "k_signal", "k_noise")
 
 
 class Network:
@@ -116,17 +135,21 @@ class Network:
     def errors(self, x: np.ndarray) -> np.ndarray:
         return ((self.layers(x)[-1] - x) ** 2).mean(axis=1)
 
+    def gradients(self, x: np.ndarray) -> list[np.ndarray]:
+        """Of the mean squared reconstruction error, in the order of the weights, then the biases."""
+        depth, seen = len(self.weights), self.layers(x)
+        delta, grads = 2.0 * (seen[-1] - x) / x.size, [None] * (2 * depth)
+        for i in range(depth - 1, -1, -1):
+            grads[i], grads[depth + i] = seen[i].T @ delta, delta.sum(axis=0)
+            if i:
+                delta = (delta @ self.weights[i].T) * (1.0 - seen[i] ** 2)
+        return grads
+
     def train(self, x: np.ndarray, epochs: int, rate: float) -> None:
         params = [*self.weights, *self.biases]
-        first, second, depth = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params], len(self.weights)
+        first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
         for step in range(1, epochs + 1):
-            seen = self.layers(x)
-            delta, grads = 2.0 * (seen[-1] - x) / x.size, [None] * (2 * depth)
-            for i in range(depth - 1, -1, -1):
-                grads[i], grads[depth + i] = seen[i].T @ delta, delta.sum(axis=0)
-                if i:
-                    delta = (delta @ self.weights[i].T) * (1.0 - seen[i] ** 2)
-            for p, g, m, v in zip(params, grads, first, second, strict=True):
+            for p, g, m, v in zip(params, self.gradients(x), first, second, strict=True):
                 m += 0.1 * (g - m)
                 v += 0.001 * (g * g - v)
                 p -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
@@ -164,25 +187,15 @@ def autoencoders(at: DataFrame, cfg: Autoencoder = Autoencoder()) -> DataFrame:
 
 
 def autoencoder_scores(at: DataFrame, cfg: Autoencoder = Autoencoder()) -> DataFrame:
-    """Scored chips: mean squared reconstruction error against the model's threshold.
-
-    The weights join each chip's row inside Spark; a batch rebuilds a network once for each run of equal weights.
-    """
-    rows = at.withColumn("model", model_number(F.col("n"), cfg.baseline, cfg.retrain)).where("model is not null")
-    rows = rows.join(autoencoders(at, cfg), [*KEY, "model"])
-
-    @F.pandas_udf("double")
-    def error(vector: pd.Series, scale: pd.Series, weights: pd.Series) -> pd.Series:
-        out, known = np.empty(len(vector)), {}
-        for i, (v, s, w) in enumerate(zip(vector, scale, weights, strict=True)):
-            mark = w.tobytes()
-            if mark not in known:
-                known[mark] = (Network.restored(len(v), cfg, w), [])
-            known[mark][1].append((i, v / np.repeat(s, cfg.length)))
-        for net, own in known.values():
-            out[[i for i, _ in own]] = net.errors(np.stack([x for _, x in own]))
-        return pd.Series(out)
-
-    rows = rows.withColumn("reconstruction_error", error("vector", "scale", "weights"))
-    rows = rows.withColumn("severity", F.col("reconstruction_error") / F.col("threshold"))
-    return rows.withColumn("is_alarm", A.exceeds(F.col("reconstruction_error"), F.col("threshold")))
+    """Scored chips: mean squared reconstruction error against the model's threshold."""
+    wafers = by_wafer(at, "vector", autoencoders(at, cfg), cfg.baseline, cfg.retrain)
+
+    @F.arrow_udf("array<double>")
+    def errors(vectors: pa.Array, scales: pa.Array, weights: pa.Array) -> pa.Array:
+        out = []
+        for chips, scale, values in zip(vectors, scales, weights, strict=True):
+            x = np.array(chips.as_py(), float) / np.repeat(np.array(scale.as_py()), cfg.length)
+            out.append(Network.restored(x.shape[1], cfg, np.array(values.as_py())).errors(x))
+        return pa.array(out, pa.list_(pa.float64()))
+
+    return by_chip(wafers.withColumn("errors", errors(F.col("chips.v"), "scale", "weights")), F.col("errors"), "reconstruction_error")
