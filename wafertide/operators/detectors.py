@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..config import Coupling, Inter, Intra, Multivariate, Spike
 from ..functions import arrays as A
-from ..schema import EVENT_COLUMNS, KEY, WAFER
+from ..schema import EVENT_COLUMNS, GROUP, KEY, WAFER
 
 
 def cusum(features: DataFrame, value: str, cfg: Intra = Intra()) -> DataFrame:
@@ -72,12 +72,41 @@ def _baseline(rows: DataFrame, value: Column, size: int) -> tuple[Column, Column
     return F.avg(first).over(now), F.when(F.count(first).over(now) < 2, 1.0).otherwise(spread)
 
 
-def ewma_chart(wafers: DataFrame, value: str, cfg: Inter = Inter()) -> DataFrame:
+def _resumed(wafers: DataFrame, value: str, cfg: Inter, start: DataFrame) -> DataFrame:
+    """Wafers with their EWMA and baseline where a first epoch goes on from a saved tracker.
+
+    The saved mean stands as the value of a wafer 0; the saved baseline's count, mean and sum of squares are combined
+    with those of the new wafers.
+    """
+    state = start.where("inter_wafer_state.initialized").select(
+        *GROUP, F.lit(0).cast("long").alias("epoch"), *[F.col(f"inter_wafer_state.{a}").alias(b) for a, b in
+        (("n_samples", "n0"), ("baseline_mean", "mean0"), ("m2", "m0"), ("ewma_value", "e0"))],
+    )
+    rows = wafers.join(state, KEY, "left").withColumn("n", (F.col("n") + F.coalesce("n0", F.lit(0))).cast("int"))
+    zero = state.select(*KEY, F.lit(0).alias("n"), F.col("e0").alias(value))
+    rows = rows.unionByName(zero, allowMissingColumns=True)
+    now = A.up_to_now(KEY, ["n"])
+    first = F.when((F.col("n") > 0) & (F.col("n") <= cfg.baseline), F.col(value))
+    n0, count = F.coalesce("n0", F.lit(0)), F.count(first).over(now)
+    rows = rows.withColumns({"ewma": A.ewma(F.col(value), cfg.weight, KEY, ["n"]), "k": count, "mean1": F.coalesce(F.avg(first).over(now), F.lit(0.0))})
+    rows = rows.withColumn("m1", F.coalesce(F.var_samp(first).over(now), F.lit(0.0)) * (F.col("k") - 1)).where("n > 0")
+    size, mean0 = n0 + F.col("k"), F.coalesce("mean0", F.lit(0.0))
+    gap = F.when((n0 > 0) & (F.col("k") > 0), F.col("mean1") - mean0).otherwise(0.0)
+    squares = F.coalesce("m0", F.lit(0.0)) + F.when(F.col("k") > 0, F.col("m1")).otherwise(0.0) + gap * gap * n0 * F.col("k") / size
+    rows = rows.withColumn("baseline_mean", (n0 * mean0 + F.col("k") * F.col("mean1")) / size)
+    rows = rows.withColumn("baseline_std", F.when(size < 2, 1.0).otherwise(F.greatest(F.sqrt(squares / F.greatest(size - 1, F.lit(1))), F.lit(1e-9))))
+    return rows.drop("n0", "mean0", "m0", "e0", "k", "mean1", "m1")
+
+
+def ewma_chart(wafers: DataFrame, value: str, cfg: Inter = Inter(), start: DataFrame | None = None) -> DataFrame:
     """EWMA chart over wafers with a baseline that freezes at its last wafer, which is already tested."""
-    mean, std = _baseline(wafers, F.col(value), cfg.baseline)
-    rows = wafers.withColumns(
-        {"ewma": A.ewma(F.col(value), cfg.weight, KEY, ["n"]), "baseline_mean": mean, "baseline_std": std}
-    )
+    if start is not None:
+        rows = _resumed(wafers, value, cfg, start)
+    else:
+        mean, std = _baseline(wafers, F.col(value), cfg.baseline)
+        rows = wafers.withColumns(
+            {"ewma": A.ewma(F.col(value), cfg.weight, KEY, ["n"]), "baseline_mean": mean, "baseline_std": std}
+        )
     rows = rows.withColumn("control_limit", F.col("baseline_mean") + cfg.sigma * F.col("baseline_std"))
     rows = rows.withColumn("severity", (F.col("ewma") - F.col("baseline_mean")) / F.col("baseline_std"))
     return rows.withColumn("is_alarm", (F.col("n") >= cfg.baseline) & A.exceeds(F.col("ewma"), F.col("control_limit")))
@@ -138,7 +167,8 @@ def coupling_distances(chips: DataFrame, split: DataFrame, cfg: Coupling = Coupl
     ok = (F.col("n_chips") >= cfg.least_chips) & (F.col("spread") >= 1e-9) & A.exceeds(F.col("separation"), F.lit(cfg.separation))
     good = split.where(ok).select(*WAFER, "la", "lb", "separation")
     length = chips.groupBy(*WAFER).agg(F.min_by(F.size("temp_series"), "bond_order").alias("n_first"))
-    rows = chips.where("n_before > 0").join(good, WAFER).join(length, WAFER)
+    seen = chips.where("track") if "track" in chips.columns else chips
+    rows = seen.where("n_before > 0").join(good, WAFER).join(length, WAFER)
     second = F.abs(F.col("level") - F.col("lb")) < F.abs(F.col("level") - F.col("la"))
     points = rows.repartition(*WAFER).select(
         *WAFER, "wafer_id", "separation", second.alias("second"), F.posexplode(F.slice("temp_series", F.lit(1), F.col("n_first"))).alias("pos", "v")

@@ -3,6 +3,9 @@
 Chips carry ``wafer_seq`` (1, 2, ... within a group).  A maintenance event starts a new epoch, which is part of every
 key, so a reset is a partition border.  A wafer's features use the reference after the last earlier wafer that was
 learned from; the first learned wafer of an epoch is a cold start and has no features.
+
+``start`` are states of a baseline document (group columns, ``reference``, ``inter_wafer_state``).  A group's first epoch
+then goes on from its profile, which stands as the row of wafer 0; a later maintenance event forgets it.
 """
 
 from __future__ import annotations
@@ -15,10 +18,20 @@ from ..functions import arrays as A
 from ..schema import GROUP, KEY, WAFER
 
 
-def with_epochs(chips: DataFrame) -> DataFrame:
+def known(start: DataFrame) -> DataFrame:
+    """Groups of ``start`` with a profile: ``epoch`` 0, ``seen`` wafers, ``length`` and ``profile``."""
+    rows = start.where("reference is not null and size(reference.temp_ref) > 0")
+    return rows.select(
+        *GROUP, F.lit(0).cast("long").alias("epoch"), F.col("reference.n_wafers_seen").cast("long").alias("seen"),
+        F.col("reference.n_points").alias("length"), F.col("reference.temp_ref").alias("profile"),
+    )
+
+
+def with_epochs(chips: DataFrame, start: DataFrame | None = None) -> DataFrame:
     """Adds ``epoch`` and ``n_before``, the learned wafers of the epoch before this wafer.
 
-    Windows run over one row for each wafer, never over chips.  Columns ``pm_event`` and ``learn`` are optional.
+    Windows run over one row for each wafer, never over chips.  Columns ``pm_event``, ``learn`` (whether the reference
+    learns from the wafer) and ``track`` (whether detectors see it) are optional.
     """
     pm = F.coalesce(F.col("pm_event"), F.lit(False)) if "pm_event" in chips.columns else F.lit(False)
     learn = F.coalesce(F.col("learn"), F.lit(True)) if "learn" in chips.columns else F.lit(True)
@@ -28,15 +41,34 @@ def with_epochs(chips: DataFrame) -> DataFrame:
     before = Window.partitionBy(*KEY).orderBy("wafer_seq").rowsBetween(Window.unboundedPreceding, -1)
     learned = F.col("l").cast("int")
     wafers = wafers.withColumn("n_before", F.coalesce(F.sum(learned).over(before), F.lit(0)))
+    if start is not None:
+        wafers = wafers.join(known(start).select(*KEY, "seen"), KEY, "left")
+        wafers = wafers.withColumn("n_before", F.col("n_before") + F.coalesce("seen", F.lit(0)))
     wafers = wafers.select(*GROUP, "wafer_seq", "epoch", "n_before", F.col("l").alias("learned"))
     return chips.join(wafers, [*GROUP, "wafer_seq"])
 
 
-def pinned(chips: DataFrame, cfg: Reference = Reference()) -> DataFrame:
-    """Adds ``n_points``, the length of the first chip of the epoch's first learned wafer, and handles shorter chips."""
+def lengths(chips: DataFrame, start: DataFrame | None = None) -> DataFrame:
+    """``n_points`` by epoch: the length of the first chip of its first learned wafer, or of the profile it starts from."""
     first = F.min_by(F.size("temp_series"), F.struct("wafer_seq", "bond_order"))
-    length = chips.where("learned").groupBy(*KEY).agg(first.alias("n_points"))
-    out = chips.join(length, KEY)
+    found = chips.where("learned").groupBy(*KEY).agg(first.alias("n_points"))
+    if start is None:
+        return found
+    both = found.join(known(start).select(*KEY, "length"), KEY, "full_outer")
+    return both.select(*KEY, F.coalesce("length", "n_points").alias("n_points"))
+
+
+def ragged_equipment(chips: DataFrame) -> DataFrame:
+    """``eqp_id, error`` of equipment that ``pinned`` would refuse: a learned wafer has a chip with too few points."""
+    ready = with_epochs(chips.where(F.size("temp_series") > 0))
+    bad = ready.join(lengths(ready), KEY).where(F.col("learned") & (F.size("temp_series") < F.col("n_points")))
+    text = F.concat(F.lit("chip with too few points in wafer "), F.min("wafer_id"))
+    return bad.groupBy(F.col("equipment_id").alias("eqp_id")).agg(text.alias("error"))
+
+
+def pinned(chips: DataFrame, cfg: Reference = Reference(), start: DataFrame | None = None) -> DataFrame:
+    """Adds ``n_points`` and handles shorter chips."""
+    out = chips.join(lengths(chips, start), KEY)
     ragged = F.size("temp_series") < F.col("n_points")
     if cfg.on_ragged == "drop":
         return out.where(~ragged | ~F.col("learned"))
@@ -89,14 +121,20 @@ def as_arrays(long: DataFrame, extra: list[str]) -> DataFrame:
     )
 
 
-def references(chips: DataFrame, cfg: Reference = Reference(), two: bool = True) -> DataFrame:
+def references(chips: DataFrame, cfg: Reference = Reference(), two: bool = True, start: DataFrame | None = None) -> DataFrame:
     """One row per learned wafer: the profiles after it, ``n`` (its number in the epoch), and its clusters.
 
     ``cluster_refs`` holds the two cluster profiles where the wafer is bimodal.
     """
     own = chips.where("learned")
     number = own.select(*WAFER, (F.col("n_before") + 1).alias("n")).distinct()
-    whole = as_arrays(smoothed(medians(own, [], two), [], cfg.alpha), []).join(number, WAFER)
+    profile = medians(own, [], two)
+    if start is not None:
+        zero = known(start).withColumn("wafer_seq", F.lit(0).cast("long"))
+        points = zero.select(*WAFER, F.posexplode("profile").alias("pos", "t"))
+        profile = profile.unionByName(points.withColumn("r", F.col("t")))
+        number = number.unionByName(zero.select(*WAFER, F.col("seen").alias("n")))
+    whole = as_arrays(smoothed(profile, [], cfg.alpha), []).join(number, WAFER)
     if not two:
         return whole.drop("resist_ref")
     split = clusters(own, cfg)
@@ -109,7 +147,8 @@ def references(chips: DataFrame, cfg: Reference = Reference(), two: bool = True)
 
 def with_reference(chips: DataFrame, refs: DataFrame, two: bool = True) -> DataFrame:
     """Chips with the profile that was current before their wafer, their cluster and residuals; cold starts drop out."""
-    at = chips.where("n_before > 0").join(refs.drop("wafer_seq").withColumnRenamed("n", "n_before"), [*KEY, "n_before"])
+    seen = chips.where("track") if "track" in chips.columns else chips
+    at = seen.where("n_before > 0").join(refs.drop("wafer_seq").withColumnRenamed("n", "n_before"), [*KEY, "n_before"])
     if not two:
         n = F.least(F.size("temp_ref"), F.size("temp_series"))
         return at.withColumn("n_used", n).withColumn("temp_residual", A.residual(F.col("temp_series"), F.col("temp_ref"), F.col("n_used")))
@@ -138,7 +177,7 @@ def features(at: DataFrame, cfg: Feature = Feature(), two: bool = True) -> DataF
     return at.withColumns(found)
 
 
-def prepared(chips: DataFrame, cfg: Config = Config(), two: bool = True) -> DataFrame:
+def prepared(chips: DataFrame, cfg: Config = Config(), two: bool = True, start: DataFrame | None = None) -> DataFrame:
     """Chips with a series, with their epochs, lengths and (with resistance) levels."""
-    ready = pinned(with_epochs(chips.where(F.size("temp_series") > 0)), cfg.reference)
+    ready = pinned(with_epochs(chips.where(F.size("temp_series") > 0), start), cfg.reference, start)
     return chip_levels(ready) if two else ready

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import Autoencoder, Config, Coupling, Inter, Intra, Lookback, Multivariate, Reference, Spectrum, Spike
@@ -19,6 +19,7 @@ from ..schema import GROUP
 from ..scratch import materialize, new_path
 from ..sources import ingest, simulate, sinks
 from ..streaming import stateful
+from . import baseline as B
 from . import fixtures as X
 from . import oracles as O
 from .pipeline import Analysis
@@ -26,7 +27,7 @@ from .pipeline import Analysis
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
-#: Loose limits, so that stationary fixture data gives alarms.
+#: Loose limits and short baselines, so that a few stationary wafers give alarms; models have their full size.
 CFG = Config(
     reference=Reference(alpha=0.3),
     intra=Intra(k=0.25, h=1.0, warmup=5),
@@ -34,8 +35,8 @@ CFG = Config(
     spike=Spike(sigma=1.5, rate_sigma=0.5),
     coupling=Coupling(sigma=0.3, baseline=5, weight=0.3),
     multivariate=Multivariate(weight=0.3, alpha=0.5, baseline=5),
-    autoencoder=Autoencoder(length=8, hidden=6, bottleneck=2, baseline=4, epochs=40, rate=0.05, percentile=90),
-    spectrum=Spectrum(length=8, baseline=4, alpha=0.2),
+    autoencoder=Autoencoder(baseline=4, percentile=90),
+    spectrum=Spectrum(baseline=4, alpha=0.2),
 )
 WAVES = O.waveform_ctes(CFG.reference.alpha)
 MEANS = O.two_means_ctes()
@@ -72,9 +73,9 @@ def q(expr: str, digits: int = 4) -> str:
     return f"round({expr}, {digits}) + 0.0"
 
 
-def analysis(spark: SparkSession, sf_dir: str, cfg: Config = CFG, **kw) -> Analysis:
-    """A run over the derived chips, which are stored first, as ingestion would store them."""
-    return Analysis(materialize(X.waveforms(spark, sf_dir, **kw), "chips"), cfg)
+def analysis(spark: SparkSession, sf_dir: str, cfg: Config = CFG, once: bool = True, **kw) -> Analysis:
+    """A run over the derived chips, which are stored first, as ingestion would store them; ``once`` for a single chart."""
+    return Analysis(materialize(X.waveforms(spark, sf_dir, **kw), "chips"), cfg, stored=True, once=once)
 
 
 def shown(df: DataFrame, *columns) -> DataFrame:
@@ -157,23 +158,54 @@ def first_diff(spark, sf_dir):
 
 @query("roughness", f"with recursive {FEAT} select g, wi, ch bond_order, {q('rt')} temp, {q('rr')} resist from feat")
 def roughness(spark, sf_dir):
-    return shown(analysis(spark, sf_dir).features, "bond_order", F.col("temp_roughness").alias("temp"), F.col("resist_roughness").alias("resist"))
+    return shown(analysis(spark, sf_dir).slim, "bond_order", F.col("temp_roughness").alias("temp"), F.col("resist_roughness").alias("resist"))
+
+
+@query("raw_roughness", f"with {WAVES}, d as (select *, t - lag(t) over (partition by g, wi, ch order by p) dt from c) select g, wi, ch bond_order, {q('stddev_pop(dt)')} temp from d group by g, wi, ch")
+def raw_roughness(spark, sf_dir):
+    """Roughness of the series itself, which the plots of a wafer show."""
+    return shown(X.waveforms(spark, sf_dir).withColumn("temp", A.roughness(F.col("temp_series"))), "bond_order", "temp")
+
+
+@query(
+    "roughness_walkthrough",
+    f"""with recursive {FEAT}, x as (select res.*, xt - lag(xt) over (partition by g, wi, ch order by p) dt from res)
+    select x.g, x.wi, x.ch bond_order, (x.p - 1)::int pos, {q('c.t')} raw, {q('xt')} residual, {q('dt')} diff, {q('f.rt')} roughness
+    from x join c on c.g = x.g and c.wi = x.wi and c.ch = x.ch and c.p = x.p join feat f on f.g = x.g and f.wi = x.wi and f.ch = x.ch""",
+)
+def roughness_walkthrough(spark, sf_dir):
+    """A chip's way to its roughness in one table: raw value, residual, difference from the last one, and their spread."""
+    at = R.features(analysis(spark, sf_dir).at, CFG.feature)
+    diff = F.concat(F.array(F.lit(None).cast("double")), A.first_diff(F.col("temp_residual")))
+    points = F.arrays_zip(F.col("temp_series").alias("a"), F.col("temp_residual").alias("b"), diff.alias("c"))
+    rows = at.select("equipment_id", "wafer_seq", "bond_order", "temp_roughness", F.posexplode(points).alias("pos", "v"))
+    return shown(rows, "bond_order", "pos", F.col("v.a").alias("raw"), F.col("v.b").alias("residual"), F.col("v.c").alias("diff"), F.col("temp_roughness").alias("roughness"))
+
+
+@query(
+    "roughness_normalized",
+    f"""with recursive {FEAT} select g, wi, ch bond_order, {q('(rt - avg(rt) over w) / (stddev_pop(rt) over w + 1e-9)')} z from feat window w as (partition by g, wi)""",
+)
+def roughness_normalized(spark, sf_dir):
+    rows = analysis(spark, sf_dir).slim
+    return shown(rows.withColumn("z", A.normalized(F.col("temp_roughness"), Window.partitionBy("equipment_id", "wafer_seq"))), "bond_order", "z")
 
 
 @query("spike", f"with recursive {FEAT} select g, wi, ch bond_order, {q('st')} temp, {q('sr')} resist from feat")
 def spike(spark, sf_dir):
-    return shown(analysis(spark, sf_dir).features, "bond_order", F.col("temp_spike").alias("temp"), F.col("resist_spike").alias("resist"))
+    return shown(analysis(spark, sf_dir).slim, "bond_order", F.col("temp_spike").alias("temp"), F.col("resist_spike").alias("resist"))
 
 
 @query(
     "min_points_guard",
-    f"""with {WAVES}, cut as (select g, wi, ch, p, t, case when ch % 2 = 0 then 16 else 9 end n from c),
-    dd as (select *, t - lag(t) over (partition by g, wi, ch order by p) dt from cut where p <= n)
-    select g, wi, ch bond_order, {q('case when any_value(n) < 10 then 0 else stddev_pop(dt) end')} rough from dd group by g, wi, ch""",
+    f"""with {WAVES}, cut as (select g, wi, ch, case when ch % 2 = 0 then p - 1 else (p - 1) // 2 end p, avg(t) t from c group by all),
+    dd as (select *, t - lag(t) over (partition by g, wi, ch order by p) dt from cut)
+    select g, wi, ch bond_order, {q('case when ch % 2 = 1 then 0 else stddev_pop(dt) end')} rough from dd group by g, wi, ch""",
 )
 def min_points_guard(spark, sf_dir):
-    n = F.when(F.col("bond_order") % 2 == 0, 16).otherwise(9)
-    chips = X.waveforms(spark, sf_dir).withColumn("temp_series", F.slice("temp_series", F.lit(1), n)).withColumn("temp_residual", F.col("temp_series"))
+    """Odd chips are averaged to 8 points, which are too few for a roughness."""
+    series = F.when(F.col("bond_order") % 2 == 0, F.col("temp_series")).otherwise(A.downsample(F.col("temp_series"), 8))
+    chips = X.waveforms(spark, sf_dir).withColumn("temp_series", series).withColumn("temp_residual", F.col("temp_series"))
     return shown(R.features(chips, CFG.feature, two=False), "bond_order", F.col("temp_roughness").alias("rough"))
 
 
@@ -246,7 +278,7 @@ def bimodal_flag(spark, sf_dir):
 
 @query("cluster_assign", f"with recursive {FEAT} select g, wi, ch bond_order, cl::int as cluster from own")
 def cluster_assign(spark, sf_dir):
-    return shown(analysis(spark, sf_dir).features, "bond_order", "cluster")
+    return shown(analysis(spark, sf_dir).slim, "bond_order", "cluster")
 
 
 @query("cluster_reference_ewma", f"with recursive {FEAT} select g, wi, cl::int as cluster, (p - 1)::int pos, {q('rt')} t, {q('rr')} r from cref")
@@ -262,7 +294,7 @@ def cluster_reference_ewma(spark, sf_dir):
     f"with recursive {FEAT} select g, wi, {q('avg(rr)')} mean, {q('max(rr)')} \"max\", {q('quantile_cont(rr, 0.9)')} p90 from feat group by g, wi",
 )
 def wafer_summary_stats(spark, sf_dir):
-    return shown(D.summary_stats(analysis(spark, sf_dir).features, "resist_roughness"), "mean", "max", "p90")
+    return shown(D.summary_stats(analysis(spark, sf_dir).slim, "resist_roughness"), "mean", "max", "p90")
 
 
 NOW = "over (partition by g, ep order by n rows unbounded preceding)"
@@ -279,14 +311,17 @@ def roughness_baseline(spark, sf_dir):
 
 # detectors ---------------------------------------------------------------------------------------------------------
 
-CUSUM_SQL = f"""{FEAT},
-o as (select *, row_number() over (partition by g, wi order by ch) rn, count(*) over (partition by g, wi) n from feat),
-wu as (select g, wi, avg(rr) m, greatest(stddev_samp(rr), avg(rr) * 0.15e0, 1e-9) sd from o where rn <= 5 and n >= 10 group by g, wi),
-zz as (select o.g, o.wi, o.wafer, o.ch, rn, n, m, sd, (rr - m) / sd z from o join wu using (g, wi) where rn > 5),
+def cusum_ctes(v: str) -> str:
+    return f"""o as (select *, row_number() over (partition by g, wi order by ch) rn, count(*) over (partition by g, wi) n from feat),
+wu as (select g, wi, avg({v}) m, greatest(stddev_samp({v}), avg({v}) * 0.15e0, 1e-9) sd from o where rn <= 5 and n >= 10 group by g, wi),
+zz as (select o.g, o.wi, o.wafer, o.ch, rn, n, m, sd, ({v} - m) / sd z from o join wu using (g, wi) where rn > 5),
 pp as (select *, sum(z - 0.25e0) over (partition by g, wi order by rn rows unbounded preceding) tot from zz),
 cu as (select *, tot - least(0, min(tot) over (partition by g, wi order by rn rows unbounded preceding)) s from pp)"""
 
 
+CUSUM_SQL = f"{FEAT},\n{cusum_ctes('rr')}"
+
+
 @query("cusum_chart", f"with recursive {CUSUM_SQL} select g, wi, ch bond_order, {q('z')} z, {q('s')} s, s > 1 is_alarm from cu")
 def cusum_chart(spark, sf_dir):
     return shown(analysis(spark, sf_dir).cusum("resist"), "bond_order", "z", "s", "is_alarm")
@@ -302,9 +337,13 @@ def intra_drift_events(spark, sf_dir):
     return shown(rows, "wafer_id", F.col("cusum_peak").alias("severity"), "alarm_chip_index", "n_chips", "warmup_mean", "effective_std")
 
 
+def inter_ctes(v: str) -> str:
+    return f"""e as {O.ewma_sql('wf', v, 0.3, 'e')}, bl as (select *, {O.baseline_sql(v, 5)} from wf),
+ch as (select bl.g, bl.wi, bl.wafer, bl.ep, n, {v} x, e, bm, bs, bm + 0.5e0 * bs lim, (e - bm) / bs sev, n >= 5 and e > bm + 0.5e0 * bs al from bl join e using (g, ep, n))"""
+
+
 def ewma_ctes(feat: str) -> str:
-    return f"""{feat}, e as {O.ewma_sql('wf', 'rt', 0.3, 'e')}, bl as (select *, {O.baseline_sql('rt', 5)} from wf),
-ch as (select bl.g, bl.wi, bl.wafer, bl.ep, n, rt x, e, bm, bs, bm + 0.5e0 * bs lim, (e - bm) / bs sev, n >= 5 and e > bm + 0.5e0 * bs al from bl join e using (g, ep, n))"""
+    return f"{feat}, {inter_ctes('rt')}"
 
 
 EWMA_SQL = ewma_ctes(FEAT)
@@ -339,12 +378,13 @@ def _first(v: str) -> str:
     return f"case when n <= 5 then {v} end"
 
 
-T2_SQL = f"""{FEAT}, et as {O.ewma_sql('wf', 'rt', 0.3, 'et')}, er as {O.ewma_sql('wf', 'rr', 0.3, 'er')},
+T2_CTES = f"""et as {O.ewma_sql('wf', 'rt', 0.3, 'et')}, er as {O.ewma_sql('wf', 'rr', 0.3, 'er')},
 bl as (select *, avg({_first('rt')}) {NOW} mt, avg({_first('rr')}) {NOW} mr, coalesce(var_samp({_first('rt')}) {NOW}, 1) + 1e-6 a,
   coalesce(var_samp({_first('rr')}) {NOW}, 1) + 1e-6 c, coalesce(covar_samp({_first('rt')}, {_first('rr')}) {NOW}, 0) b from wf),
 t2 as (select bl.g, bl.wi, bl.wafer, n, (c * (et - mt) ** 2 - 2 * b * (et - mt) * (er - mr) + a * (er - mr) ** 2) / (a * c - b * b) v
   from bl join et using (g, ep, n) join er using (g, ep, n)),
 t as (select *, -2 * ln(0.5e0) lim, n >= 5 and v > -2 * ln(0.5e0) al from t2)"""
+T2_SQL = f"{FEAT}, {T2_CTES}"
 
 
 @query("t2_chart", f"with recursive {T2_SQL} select g, wi, {q('v')} t2, {q('lim')} control_limit, al is_alarm from t where n >= 3")
@@ -357,7 +397,7 @@ def inter_drift_mv_events(spark, sf_dir):
     return shown(analysis(spark, sf_dir).t2().where("is_alarm"), "wafer_id", F.col("t2").alias("severity"))
 
 
-SPIKE_SQL = f"""{FEAT}, md as (select g, wi, median(sr) med from feat group by g, wi),
+SPIKE_CTES = f"""md as (select g, wi, median(sr) med from feat group by g, wi),
 th as (select feat.g, feat.wi, any_value(med) med, median(abs(sr - med)) mad from feat join md using (g, wi) group by feat.g, feat.wi),
 tt as (select *, med + 1.5e0 * greatest(1.4826e0 * mad, 1e-9) lim from th),
 sp as (select feat.*, lim, sr > lim al from feat join tt using (g, wi)),
@@ -365,6 +405,7 @@ rate as (select g, ep, wi, wafer, avg(al::int) v from sp group by all),
 rz as (select *, count(*) over b nh, avg(v) over b hm, greatest(stddev_pop(v) over b, 1e-9) hs from rate
   window b as (partition by g, ep order by wi rows between unbounded preceding and 1 preceding)),
 ra as (select *, (v - hm) / hs z, nh >= 4 and coalesce((v - hm) / hs > 0.5e0, false) al from rz)"""
+SPIKE_SQL = f"{FEAT}, {SPIKE_CTES}"
 
 
 @query("mad_threshold", f"with recursive {SPIKE_SQL} select g, wi, {q('med')} med, {q('mad')} mad, {q('lim')} threshold from tt")
@@ -388,12 +429,13 @@ def spike_rate_events(spark, sf_dir):
     return shown(analysis(spark, sf_dir).spike_rates().where("is_alarm"), "wafer_id", F.col("z_score").alias("severity"))
 
 
-DIST_SQL = f"""{WAVES},{MEANS}, ok as (select * from bim where n >= 10 and sd >= 1e-9 and sep > 0.15e0 and k > 1),
+DIST_CTES = f"""ok as (select * from bim where n >= 10 and sd >= 1e-9 and sep > 0.15e0 and k > 1),
 pr as (select c.g, c.ep, c.wi, c.wafer, c.p, avg(t) filter (where not abs(level - lb) < abs(level - la)) p0, avg(t) filter (where abs(level - lb) < abs(level - la)) p1
   from c join ok on ok.g = c.g and ok.wi = c.wi join lev on lev.g = c.g and lev.wi = c.wi and lev.ch = c.ch group by all),
 ds as (select g, ep, wi, wafer, sqrt(avg((p0 - p1) ** 2)) x, row_number() over (partition by g, ep order by wi) n from pr group by g, ep, wi, wafer),
 e as {O.ewma_sql('ds', 'x', 0.3, 'e')}, bl as (select *, {O.baseline_sql('x', 5)} from ds),
 cp as (select bl.*, e, (e - bm) / bs z, n >= 5 and (e - bm) / bs > 0.3e0 al from bl join e using (g, ep, n))"""
+DIST_SQL = f"{WAVES},{MEANS}, {DIST_CTES}"
 
 
 @query("coupling_distance", f"with recursive {DIST_SQL} select g, wi, {q('x')} distance from ds")
@@ -413,7 +455,7 @@ def coupling_chart(spark, sf_dir):
 
 
 def _vectors(spark, sf_dir, cfg: Config) -> Analysis:
-    return Analysis(X.vectors(spark, sf_dir), cfg)
+    return Analysis(materialize(X.vectors(spark, sf_dir), "chips"), cfg, stored=True)
 
 
 @query("autoencoder_fit_score")
@@ -451,7 +493,9 @@ def chi2_threshold(spark, sf_dir):
 # runs --------------------------------------------------------------------------------------------------------------
 
 TODAY = dt.date(2024, 2, 20)
+RUN_TS = dt.datetime(2024, 2, 20, 9, 30)
 LOOK = Lookback(least_wafers=9, days=30, chunk_days=7)
+ROUTE = 14
 LOOK_SQL = f"""{CHIP_SQL}, wl as (select distinct equipment_id, recipe, head, wafer_id, first_ts from ck),
 ag as (select *, date_diff('day', first_ts::date, date '{TODAY - dt.timedelta(days=1)}') age from wl),
 cn as (select *, (age // 7)::int as chunk from ag where age >= 0 and first_ts::date >= date '{TODAY - dt.timedelta(days=30)}'),
@@ -469,17 +513,25 @@ def lookback_selection(spark, sf_dir):
     return ingest.lookback(_wafers(spark, sf_dir), TODAY, LOOK).select(*GROUP, "wafer_id", "chunk")
 
 
+BOOT_SQL = LOOK_SQL.replace(f"date '{TODAY - dt.timedelta(days=1)}') age from wl", f"date '{TODAY}') age from wl where first_ts <= timestamp '{RUN_TS}'")
+
+
+@query("bootstrap_selection", f"with {BOOT_SQL} select equipment_id, recipe, head, wafer_id, chunk from hist")
+def bootstrap_selection(spark, sf_dir):
+    """A first run's history: today is part of it, up to the time of the run."""
+    return ingest.lookback(_wafers(spark, sf_dir), TODAY, LOOK, RUN_TS).select(*GROUP, "wafer_id", "chunk")
+
+
 @query(
     "baseline_policy",
-    f"""with {LOOK_SQL}, h as (select equipment_id, recipe, head, count(*) n from hist where equipment_id = '0' or wafer_id > '2024-02-17' group by all),
+    f"""with {LOOK_SQL}, h as (select equipment_id, recipe, head, count(*) n from hist group by all),
     t as (select equipment_id, recipe, head, count(*) n from wl where first_ts::date = date '{TODAY}' group by all)
     select equipment_id, recipe, head, coalesce(h.n, 0)::bigint n_history, coalesce(t.n, 0)::bigint n_today,
-    case when coalesce(h.n, 0) >= 5 then 'full' when h.n > 0 then 'partial' else 'today' end route from h full join t using (equipment_id, recipe, head)""",
+    case when coalesce(h.n, 0) >= {ROUTE} then 'full' when h.n > 0 then 'partial' else 'today' end route from h full join t using (equipment_id, recipe, head)""",
 )
 def baseline_policy(spark, sf_dir):
     wafers = _wafers(spark, sf_dir)
-    history = ingest.lookback(wafers, TODAY, LOOK).where("equipment_id = '0' or wafer_id > '2024-02-17'")
-    return ingest.baseline_policy(history, wafers.where(F.to_date("first_ts") == F.lit(TODAY)))
+    return ingest.baseline_policy(ingest.lookback(wafers, TODAY, LOOK), wafers.where(F.to_date("first_ts") == F.lit(TODAY)), ROUTE)
 
 
 @query("building_ready_gate", f"with recursive {EWMA_SQL} select g, wi, wafer wafer_id, {q('sev')} severity from ch where al and wi > 8")
@@ -500,29 +552,45 @@ def group_summary(spark, sf_dir):
     return sinks.group_summary(X.waveforms(spark, sf_dir), analysis(spark, sf_dir).ewma("temp").where("is_alarm"), 5, new_after=2)
 
 
-@query(
-    "run_summary",
-    f"""with {CHIP_SQL}, known(eqp_id) as (values ('0'), ('1'), ('9')), r as (select eqp_id, count(*) n_rows from raw group by 1),
-    g as (select equipment_id eqp_id, count(*) n_chips, count(distinct (recipe, head, wafer_id)) n_wafers from ck group by 1)
-    select eqp_id, coalesce(n_rows, 0)::bigint n_rows, coalesce(n_chips, 0)::bigint n_chips, coalesce(n_wafers, 0)::bigint n_wafers, 0::bigint n_anomalies,
-    case when n_rows is null then 'no_data' else 'success' end status from known left join r using (eqp_id) left join g using (eqp_id)""",
-)
+RUN_SQL = f"""{EWMA_SQL}, known(eqp_id) as (values ('F0'), ('O0'), ('Z9')), r as (select g eqp_id, count(*) n_rows from pts group by 1),
+  gg as (select g eqp_id, count(distinct (wi, ch)) n_chips, count(distinct wi) n_wafers from c group by 1), a as (select g eqp_id, count(*) n from ch where al group by 1),
+  rs as (select eqp_id, coalesce(n_rows, 0)::bigint n_rows, coalesce(n_chips, 0)::bigint n_chips, coalesce(n_wafers, 0)::bigint n_wafers,
+    coalesce(n, 0)::bigint n_anomalies, case when n_rows is null then 'no_data' else 'success' end status
+    from known left join r using (eqp_id) left join gg using (eqp_id) left join a using (eqp_id))"""
+
+
+def _summary(spark, sf_dir):
+    """Each line item is a raw row; the equipment Z9 has none."""
+    a = analysis(spark, sf_dir)
+    raw = X.table(spark, sf_dir, "lineitem").select(X.equipment().alias("eqp_id"), F.col("l_extendedprice").alias("temp_raw"))
+    return sinks.run_summary(spark.createDataFrame([("F0",), ("O0",), ("Z9",)], "eqp_id string"), raw, a.source, a.ewma("temp").where("is_alarm"))
+
+
+@query("run_summary", f"with recursive {RUN_SQL} select * from rs")
 def run_summary(spark, sf_dir):
-    rows = X.raw_rows(spark, sf_dir)
-    chips = ingest.chips_from_rows(rows)
-    none = chips.select("equipment_id").where("false")
-    return sinks.run_summary(spark.createDataFrame([("0",), ("1",), ("9",)], "eqp_id string"), rows, chips, none)
+    return _summary(spark, sf_dir)
+
+
+@query("run_totals", f"with recursive {RUN_SQL} select count(*) n_equipment, sum(n_wafers)::bigint n_wafers, sum(n_chips)::bigint n_chips, sum(n_anomalies)::bigint n_anomalies from rs")
+def run_totals(spark, sf_dir):
+    return sinks.run_totals(_summary(spark, sf_dir))
 
 
-UNION_SQL = f"""{CUSUM_SQL}, e as {O.ewma_sql('wf', 'rt', 0.3, 'e')}, bl as (select *, {O.baseline_sql('rt', 5)} from wf),
-ev as (select g, wi, wafer, 'intra_drift' k, 'resist' c, max(s) v from cu group by g, wi, wafer having max(s) > 1
-  union all select bl.g, wi, wafer, 'inter_drift', 'temp', (e - bm) / bs from bl join e using (g, ep, n) where n >= 5 and e > bm + 0.5e0 * bs)"""
+def _stream(ctes: str, kind: str, channel: str, value: str, rest: str) -> str:
+    return f"select * from (with {ctes} select g, wi, wafer, '{kind}' k, '{channel}' c, {value} v from {rest})"
+
+
+#: The nine streams of a run but for the last, the autoencoder's, which SQL cannot fit.
+UNION_SQL = f"{FEAT}, ev as ({' union all '.join([
+    *[_stream(cusum_ctes(v), 'intra_drift', c, 'max(s)', 'cu group by g, wi, wafer having max(s) > 1') for v, c in (('rt', 'temp'), ('rr', 'resist'))],
+    _stream(SPIKE_CTES, 'spike', 'resist', 'sr', 'sp where al'), _stream(SPIKE_CTES, 'spike', 'resist', 'z', 'ra where al'),
+    *[_stream(inter_ctes(v), 'inter_drift', c, 'sev', 'ch where al') for v, c in (('rr', 'resist'), ('rt', 'temp'))],
+    _stream(T2_CTES, 'inter_drift_mv', 'both', 'v', 't where al'), _stream(DIST_CTES, 'coupling', 'both', 'z', 'cp where al'),
+])})"
 
 
 def _events(spark, sf_dir):
-    a = analysis(spark, sf_dir)
-    some = D.events(D.intra(a.cusum("resist")), "intra_drift", "resist", "cusum_peak", ["cusum_peak"])
-    return some.unionByName(D.events(a.ewma("temp"), "inter_drift", "temp", "severity", ["ewma"]))
+    return analysis(spark, sf_dir, once=False).events(models=False)
 
 
 @query("event_union", f"with recursive {UNION_SQL} select g, wi, wafer wafer_id, k anomaly_type, c channel, {q('v')} severity from ev")
@@ -538,11 +606,40 @@ def event_string(spark, sf_dir):
     return D.event_text(_events(spark, sf_dir)).select("text")
 
 
+@query(
+    "first_anomalies",
+    f"""with recursive {EWMA_SQL}, x as (select *, row_number() over (partition by g order by wi) as rank from ch where al)
+    select g, wi, wafer wafer_id, rank::int as rank, {q('sev')} severity from x where rank <= 5""",
+)
+def first_anomalies(spark, sf_dir):
+    rows = D.events(analysis(spark, sf_dir).ewma("temp"), "inter_drift", "temp", "severity", ["ewma"])
+    return shown(sinks.first_events(rows), "wafer_id", "rank", "severity")
+
+
 @query("group_key_string", f"with {CHIP_SQL} select distinct equipment_id || '|' || recipe || '|' || head group_key from ck")
 def group_key_string(spark, sf_dir):
     return ingest.chips_from_rows(X.raw_rows(spark, sf_dir)).select(ingest.group_text().alias("group_key")).distinct()
 
 
+def _temperature(spark, sf_dir) -> DataFrame:
+    return materialize(X.waveforms(spark, sf_dir).drop("resist_series"), "chips")
+
+
+def _loaded(spark, states: DataFrame) -> DataFrame:
+    path = new_path(spark, "baseline")
+    sinks.baseline_json(states, path, CFG)
+    return sinks.load_baseline(spark, path)
+
+
+HALF = 14  # wafers before the baseline document is written, or that are its history
+
+
+def baseline_out(rows: DataFrame) -> DataFrame:
+    rows = rows.select(F.col("equipment_id").alias("g"), "reference", "inter_wafer_state", F.posexplode("reference.temp_ref").alias("pos", "v"))
+    kept = [f"inter_wafer_state.{c}" for c in ("ewma_value", "baseline_mean", "baseline_std", "n_samples")]
+    return rounded(rows.select("g", "pos", "v", "reference.n_wafers_seen", *kept))
+
+
 @query(
     "baseline_json_roundtrip",
     f"""with recursive {ewma_ctes(f"{O.waveform_ctes(CFG.reference.alpha)},{MEANS},{O.cluster_ctes(CFG.reference.alpha)}")},
@@ -551,13 +648,7 @@ def group_key_string(spark, sf_dir):
     from l join ref on ref.g = l.g and ref.wi = l.wi join lastch on lastch.g = l.g""",
 )
 def baseline_json_roundtrip(spark, sf_dir):
-    path = new_path(spark, "baseline")
-    sinks.baseline_json(analysis(spark, sf_dir).states(), path, CFG)
-    rows = sinks.load_baseline(spark, path)
-    rows = rows.select(F.col("equipment_id").alias("g"), "reference", "inter_wafer_state", F.posexplode("reference.temp_ref").alias("pos", "v"))
-    return rounded(
-        rows.select("g", "pos", "v", "reference.n_wafers_seen", *[f"inter_wafer_state.{c}" for c in ("ewma_value", "baseline_mean", "baseline_std", "n_samples")])
-    )
+    return baseline_out(_loaded(spark, analysis(spark, sf_dir, once=False).states()))
 
 
 @query("csv_sink_roundtrip", f"with recursive {UNION_SQL} select g eqp_id, 'R1' recipe, 'H1' head, wafer wafer_id, k anomaly_type, {q('v')} severity from ev")
@@ -576,24 +667,60 @@ d as (select *, xt - lag(xt) over (partition by g, wi, ch order by p) dt from re
 feat as (select g, ep, wi, k, wafer, ch, stddev_pop(dt) rt from d group by all),
 wf as (select g, ep, wi, k - 1 n, wafer, avg(rt) rt, count(*) nc from feat group by all),
 e as {O.ewma_sql('wf', 'rt', 0.3, 'e')}, bl as (select *, {O.baseline_sql('rt', 5)} from wf),
-ch as (select bl.g, bl.wi, bl.wafer, nc, rt x, e, bm, bs, n >= 5 and e > bm + 0.5e0 * bs al from bl join e using (g, ep, n))"""
+ch as (select bl.g, bl.wi, bl.wafer, n, nc, rt x, e, bm, bs, n >= 5 and e > bm + 0.5e0 * bs al from bl join e using (g, ep, n))"""
 STREAM_OUT = f"g, wi, wafer wafer_id, nc::int n_chips, {q('x')} roughness, {q('e')} ewma, {q('bm')} baseline_mean, {q('bs')} baseline_std, al inter_alarm from ch"
 
 
-def _streamed(spark, sf_dir, runs: int) -> DataFrame:
-    """Chips arrive in ``runs`` files; each run starts a query anew from the checkpoint."""
+def _streamed(spark, sf_dir, runs: int, files: int | None = None, gap: str | None = None) -> DataFrame:
+    """Chips arrive in ``runs`` files; each run starts a query anew from the checkpoint.
+
+    With a ``gap`` a file may end within a wafer, and a last row of another equipment, a gap later, closes what is open.
+    """
     source, out, mark = (new_path(spark, f"stream-{x}") for x in ("source", "out", "checkpoint"))
-    chips = X.waveforms(spark, sf_dir).drop("resist_series").repartition(4)
+    chips = materialize(X.waveforms(spark, sf_dir).drop("resist_series"), "chips")
     last = chips.agg(F.max("wafer_seq")).first()[0] or 0
+    half = 0.5 if gap else 0.0
+    place = F.col("wafer_seq") + F.when(F.col("bond_order") % 2 == 1, 0.0).otherwise(half)
     for i in range(runs):
-        low, high = last * i // runs, last * (i + 1) // runs
-        chips.where((F.col("wafer_seq") > low) & (F.col("wafer_seq") <= high)).write.mode("append").parquet(source)
-        stream = spark.readStream.schema(chips.schema).parquet(source)
-        stateful.run_available(stateful.track(stream, CFG), out, mark)
+        low, high = last * i // runs + half, last * (i + 1) // runs + (half if i < runs - 1 else 1.0)
+        part = chips.where((place > (low if i else 0)) & (place <= high))
+        if gap and i == runs - 1:
+            close = chips.limit(1).withColumns({"equipment_id": F.lit("none"), "first_ts": F.lit(dt.datetime(2100, 1, 1)), "temp_series": F.array().cast("array<double>")})
+            part = part.unionByName(close)
+        part.coalesce(1 if gap else 4).write.mode("append").parquet(source)
+        if not gap:
+            stateful.run_available(stateful.track(stateful.chips_of(spark, source, chips.schema, files), CFG), out, mark)
+    if gap:
+        stateful.run_available(stateful.track(stateful.chips_of(spark, source, chips.schema, files), CFG, gap=gap), out, mark)
     rows = spark.read.schema(stateful.CHART).parquet(out)
     return shown(rows, "wafer_id", "n_chips", "roughness", "ewma", "baseline_mean", "baseline_std", "inter_alarm")
 
 
+@query("baseline_resume", f"with {TEMP_SQL} select g, wi, wafer wafer_id, {q('x')} roughness, {q('e')} ewma, {q('bm')} baseline_mean, {q('bs')} baseline_std, al is_alarm from ch where wi > {HALF}")
+def baseline_resume(spark, sf_dir):
+    """Half of the wafers make a baseline document; a second run loads it and goes on, as one run would."""
+    chips = _temperature(spark, sf_dir)
+    start = _loaded(spark, B.initialize(chips.where(F.col("wafer_seq") <= HALF), CFG))
+    rows = B.resume(chips.where(F.col("wafer_seq") > HALF), start, CFG, once=True).ewma()
+    return shown(rows, "wafer_id", F.col("temp_roughness").alias("roughness"), "ewma", "baseline_mean", "baseline_std", "is_alarm")
+
+
+@query(
+    "baseline_build",
+    f"""with {TEMP_SQL}, last as (select g, max(wi) filter (where g <> 'F0' or wi <= 3) wi from wo group by g),
+    tr as (select ch.* from ch join (select ch.g, max(ch.wi) wi from ch join last using (g) where ch.wi <= case when ch.g = 'F0' then 3 else {HALF} end group by 1) m using (g, wi))
+    select r.g, (r.p - 1)::int pos, {q('r.rt')} v, (case when r.g = 'F0' then nw else {HALF} end)::int n_wafers_seen, {q('tr.e')} ewma_value, {q('tr.bm')} baseline_mean,
+    {q('tr.bs')} baseline_std, least(5, tr.n)::int n_samples
+    from (select g, count(*) nw from wo group by g) l join ref r on r.g = l.g and r.wi = case when l.g = 'F0' then nw else {HALF} end left join tr on tr.g = l.g""",
+)
+def baseline_build(spark, sf_dir):
+    """A baseline by route: F0 has three wafers of history, so today's later ones go into its reference only."""
+    chips = _temperature(spark, sf_dir)
+    few = F.col("equipment_id") == "F0"
+    old = F.col("wafer_seq") <= F.when(few, 3).otherwise(HALF)
+    return baseline_out(_loaded(spark, B.build(chips.where(old), chips.where(~old), CFG, 5)))
+
+
 @query("stream_state_pipeline", f"with {TEMP_SQL} select {STREAM_OUT}")
 def stream_state_pipeline(spark, sf_dir):
     return _streamed(spark, sf_dir, 1)
@@ -604,28 +731,45 @@ def stream_watermark_incremental(spark, sf_dir):
     return _streamed(spark, sf_dir, 3)
 
 
+@query("stream_event_time", f"with {TEMP_SQL} select {STREAM_OUT}")
+def stream_event_time(spark, sf_dir):
+    """One file to a batch, wafers spread over files: event time closes them."""
+    return _streamed(spark, sf_dir, 4, files=1, gap="1 day")
+
+
 # generators --------------------------------------------------------------------------------------------------------
 
-SIM = Config(inter=Inter(0.2, 2.5, 5), intra=Intra(0.5, 3.0, 5), coupling=Coupling(sigma=2.5, baseline=5, weight=0.3))
+SIM = Config()
 
 
 def _simulated(spark, plan) -> DataFrame:
-    return Analysis(simulate.wafers(spark, plan), SIM).events(models=False).drop("details")
+    """All detectors' events at the defaults, on generated production."""
+    return Analysis(simulate.wafers(spark, plan), SIM).events().drop("details")
 
 
 @query("sim_normal")
 def sim_normal(spark, sf_dir):
-    return _simulated(spark, simulate.normal(10, n_chips=25, n_points=60))
+    return _simulated(spark, simulate.normal(20))
 
 
 @query("sim_drift")
 def sim_drift(spark, sf_dir):
-    return _simulated(spark, simulate.drift(10, 5, 5.0, n_chips=25, n_points=60))
+    return _simulated(spark, simulate.drift())
 
 
 @query("sim_coupling")
 def sim_coupling(spark, sf_dir):
-    return _simulated(spark, simulate.coupling_breakdown(10, 5, 20.0, n_chips=25, n_points=60))
+    return _simulated(spark, simulate.coupling_breakdown())
+
+
+@query("sim_vibration")
+def sim_vibration(spark, sf_dir):
+    return _simulated(spark, simulate.vibration())
+
+
+@query("sim_spikes")
+def sim_spikes(spark, sf_dir):
+    return _simulated(spark, simulate.spikes())
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -633,4 +777,4 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     from dataclasses import replace
 
     cfg = replace(CFG, inter=Inter(0.3, 0.5, 3))
-    return ewma_rows(Analysis(X.waveforms(spark, sf_dir, "year"), cfg))
+    return ewma_rows(Analysis(materialize(X.waveforms(spark, sf_dir, "year"), "chips"), cfg, stored=True, once=True))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .fixtures import POINTS, SCALE
+from .fixtures import POINTS, SCALE, SUPPLIERS
 
 
 def waveform_ctes(alpha: float, pm: bool = False) -> str:
@@ -10,10 +10,15 @@ def waveform_ctes(alpha: float, pm: bool = False) -> str:
     epoch = "sum(case when wi % 9 = 0 then 1 else 0 end) over (partition by g order by wi)" if pm else "0"
     keep = 1 - alpha
     return f"""
-pts as (select l_linestatus g, date_trunc('quarter', l_shipdate) w, (l_partkey % 32)::int ch, l_extendedprice * {SCALE}e0 t, l_quantity * {SCALE}e0 r,
-  row_number() over (partition by l_linestatus, date_trunc('quarter', l_shipdate), l_partkey % 32
-    order by l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity) p from lineitem),
-s as (select g, w, ch, p, t, r from (select *, count(*) over (partition by g, w, ch) n from pts) where n >= {POINTS} and p <= {POINTS}),
+pts as (select g, w, part, t, r, row_number() over (partition by g, w, part
+    order by l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity) - 1 rn, count(*) over (partition by g, w, part) n
+  from (select *, l_linestatus || (l_suppkey // {SUPPLIERS})::varchar g, date_trunc('quarter', l_shipdate) w, (l_partkey % 32)::int part,
+    l_extendedprice * {SCALE}e0 t, l_quantity * {SCALE}e0 r from lineitem)),
+sl as (select *, part + 32 * ((rn * greatest(1, n // {POINTS})) // n)::int ch from pts),
+sq as (select g, w, ch, t, r, row_number() over (partition by g, w, ch order by rn) - 1 q, count(*) over (partition by g, w, ch) m from sl),
+bl16 as (select *, (i * m) // {POINTS} lo, greatest((i * m) // {POINTS} + 1, ((i + 1) * m) // {POINTS}) hi
+  from (select *, unnest(range(0, {POINTS})) i from (select distinct g, w, ch, m from sq))),
+s as (select g, w, ch, i + 1 p, avg(t) t, avg(r) r from bl16 join sq using (g, w, ch) where q >= lo and q < hi group by g, w, ch, i),
 wn as (select g, w, row_number() over (partition by g order by w) wi from (select distinct g, w from s)),
 wo as (select g, w, wi, ep, row_number() over (partition by g, ep order by wi) k from (select *, {epoch} ep from wn)),
 c as (select s.g, ep, wi, k, strftime(s.w, '%Y-%m-%d') wafer, ch, p, t, r from s join wo on s.g = wo.g and s.w = wo.w),

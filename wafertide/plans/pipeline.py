@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,7 +11,7 @@ from ..config import Config
 from ..operators import detectors as D
 from ..operators import models as M
 from ..operators import reference as R
-from ..schema import KEY, WAFER
+from ..schema import GROUP, KEY, WAFER
 from ..scratch import materialize
 
 
@@ -19,28 +19,54 @@ SLIM = ["wafer_id", "x", "y", "bond_order", "n_before"]
 
 
 class Analysis:
-    """One run over a chips table.
+    """One run over a chips table; every plan is built when it is asked for.
 
-    Chips with their epochs, the references, and the features without arrays are each read several times, so they are
-    written once to the shared folder; charts are plans on them, built when asked for.
+    Chips with their epochs are read by every plan, so they are written to the shared folder on first use, unless
+    ``stored`` says that the chips come from a table already.  The references and the slim features (without arrays) are
+    written on first use too; with ``once`` only where one chart reads them several times.  ``start`` holds states of a
+    baseline document, from which its groups go on (one channel).
     """
 
-    def __init__(self, chips: DataFrame, cfg: Config = Config(), two: bool = True):
-        self.cfg, self.two = cfg, two
+    def __init__(self, chips: DataFrame, cfg: Config = Config(), two: bool = True, stored: bool = False, once: bool = False, start: DataFrame | None = None):
+        self.cfg, self.two, self.stored, self.once, self.start = cfg, two, stored, once, start
         self.channels = ("temp", "resist") if two else ("temp",)
-        self.chips = materialize(R.prepared(chips, cfg, two), "chips")
-        self.refs = materialize(R.references(self.chips, cfg.reference, two), "references")
-        self.at = R.with_reference(self.chips, self.refs, two)
-        slim = [f"{c}_{f}" for c in self.channels for f in (("roughness", "spike") if two else ("roughness",))]
-        found = R.features(self.at, cfg.feature, two).select(*WAFER, *SLIM, *(["cluster"] if two else []), *slim)
-        self.features = materialize(found, "features")
-        self.wafers = D.wafer_features(self.features, two)
+        if start is not None and two:
+            raise ValueError("a baseline document holds the temperature channel only")
+        self.source = chips
+
+    @cached_property
+    def chips(self) -> DataFrame:
+        found = R.prepared(self.source, self.cfg, self.two, self.start)
+        return found if self.stored else materialize(found, "chips")
+
+    @cached_property
+    def refs(self) -> DataFrame:
+        found = R.references(self.chips, self.cfg.reference, self.two, self.start)
+        return found if self.once else materialize(found, "references")
+
+    @cached_property
+    def at(self) -> DataFrame:
+        return R.with_reference(self.chips, self.refs, self.two)
+
+    @cached_property
+    def slim(self) -> DataFrame:
+        """The features without arrays, as a plan."""
+        kinds = [f"{c}_{f}" for c in self.channels for f in (("roughness", "spike") if self.two else ("roughness",))]
+        return R.features(self.at, self.cfg.feature, self.two).select(*WAFER, *SLIM, *(["cluster"] if self.two else []), *kinds)
+
+    @cached_property
+    def features(self) -> DataFrame:
+        return materialize(self.slim, "features")
+
+    @cached_property
+    def wafers(self) -> DataFrame:
+        return D.wafer_features(self.slim if self.once else self.features, self.two)
 
     def cusum(self, channel: str = "temp") -> DataFrame:
-        return D.cusum(self.features, f"{channel}_roughness", self.cfg.intra)
+        return D.cusum(self.slim if self.once else self.features, f"{channel}_roughness", self.cfg.intra)
 
     def ewma(self, channel: str = "temp") -> DataFrame:
-        return D.ewma_chart(self.wafers, f"{channel}_roughness", self.cfg.inter)
+        return D.ewma_chart(self.wafers, f"{channel}_roughness", self.cfg.inter, self.start)
 
     def t2(self) -> DataFrame:
         return D.t2_chart(self.wafers, self.cfg.multivariate)
@@ -123,4 +149,8 @@ class Analysis:
             F.lit(True).alias("initialized"), (F.col("n") >= self.cfg.inter.baseline).alias("baseline_frozen"),
         )
         rows = refs.join(chart.select(*KEY, tracker.alias("inter_wafer_state")), KEY, "left").drop("epoch")
-        return rows.withColumn("group_key", F.struct("equipment_id", "recipe", "head"))
+        if self.start is not None:  # a loaded group without a tracked wafer keeps its tracker
+            rows = rows.join(self.start.select(*GROUP, F.col("inter_wafer_state").alias("was")), GROUP, "left")
+            kind = rows.schema["inter_wafer_state"].dataType.simpleString()
+            rows = rows.withColumn("inter_wafer_state", F.coalesce(F.col("inter_wafer_state").cast(kind), F.col("was").cast(kind))).drop("was")
+        return rows.withColumn("group_key", F.struct(*GROUP))
