@@ -18,7 +18,7 @@ def duck(tiny):
     return con
 
 
-@pytest.mark.parametrize("name", [n for n in catalog.QUERIES if n in catalog.ORACLES][::4])
+@pytest.mark.parametrize("name", [n for n in catalog.QUERIES if n in catalog.ORACLES])
 def test_query_equals_sql(spark, duck, tiny, name):
     got = catalog.QUERIES[name](spark, tiny)
     want = duck.sql(catalog.ORACLES[name])
