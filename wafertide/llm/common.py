@@ -28,13 +28,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return named
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, rows: int | None = None) -> DataFrame:
     """Write ``df`` to a fresh table in the shared folder and read it back, which cuts the lineage.
 
+    Where ``rows`` bounds its rows, a slim table gets a file for each 250,000 of them, or eight, instead of one for each
+    shuffle partition.
+
     The folder is registered for deletion when the driver's JVM ends, since plans built on it stay lazy until then.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/wafertide/{label}-{uuid.uuid4().hex}"
+    df = df if rows is None else df.coalesce(max(8, rows // 250_000))
     df.write.option("compression", "zstd").parquet(path)
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)

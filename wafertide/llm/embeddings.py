@@ -255,7 +255,8 @@ def lists(described: DataFrame, cfg: Settings) -> DataFrame:
     listed = described.select(F.explode("keys").alias("key"), "k", "near")
     counts = described.select(F.explode("keys").alias("key")).groupBy("key").count().where("count > 1")
     counts = counts.select("key", F.ceil(F.col("count") / cfg.most).cast("int").alias("blocks"))
-    cells = listed.join(counts, "key").withColumn("block", F.pmod(F.xxhash64("k"), F.col("blocks")).cast("int"))
+    # lists are many times the rows that they are made of, which the planner doesn't see; they must not be broadcast
+    cells = listed.join(counts.hint("merge"), "key").withColumn("block", F.pmod(F.xxhash64("k"), F.col("blocks")).cast("int"))
     cells = cells.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     return cells.select("key", F.least("block", "other").cast("long").alias("i"), F.greatest("block", "other").cast("long").alias("j"), "block", "k", "near")
 
@@ -316,13 +317,13 @@ def near_duplicates(table: DataFrame, cfg: Settings = Settings()) -> DataFrame:
     sums = sums.groupBy("k").agg(F.sum("n").alias("links"))
     roots = components(edges, "a", "b").withColumnRenamed("node", "k")
     placed = classes.drop("vector").join(sums, "k", "left").join(roots, "k", "left").withColumn("root", F.coalesce("root", "k"))
-    placed = written(placed, "vector-classes")
-    least = written(placed.groupBy("root").agg(F.min("first_id").alias("least_id"), F.count("*").alias("size")), "vector-roots")
+    placed = written(placed, "vector-classes", n)
+    least = written(placed.groupBy("root").agg(F.min("first_id").alias("least_id"), F.count("*").alias("size")), "vector-roots", n)
     placed = meet(placed, least, ["root"], "size").select(
         "h", "g", "copies", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.col("least_id").alias("component_id")
     )
     rows = written(rows.select("vec_id", "known", "h", "g"), "vector-rows")
     # vectors that link with nothing stay out of the join, where their equal keys would meet in one task
-    linking = meet(rows.where("known"), written(placed, "vector-places"), ["h", "g"], "copies").select("vec_id", "n_links", "component_id")
+    linking = meet(rows.where("known"), written(placed, "vector-places", n), ["h", "g"], "copies").select("vec_id", "n_links", "component_id")
     alone = rows.where("not known").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linking.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

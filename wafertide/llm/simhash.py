@@ -151,7 +151,8 @@ def links(nodes: DataFrame, radius: int = 4, most: int = 32768) -> DataFrame:
     keyed = nodes.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in signed])).alias("t", "key"))
     crowd = keyed.groupBy("t", "key").count().where("count > 1")
     blocks = F.ceil(F.col("count") / F.lit(most)).cast("int")
-    members = keyed.join(crowd, ["t", "key"]).withColumn("blocks", blocks)
+    # buckets are many times the nodes that they are made of, which the planner doesn't see; they must not be broadcast
+    members = keyed.join(crowd.hint("merge"), ["t", "key"]).withColumn("blocks", blocks)
     members = members.withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
     cells = members.select(
         "t", "key", "fp", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
@@ -191,12 +192,13 @@ def links(nodes: DataFrame, radius: int = 4, most: int = 32768) -> DataFrame:
 
 def grouped(marked: DataFrame, radius: int = 4) -> DataFrame:
     """``fp, copies, component_id`` for the distinct fingerprints of ``marked`` (``doc_id, fp``)."""
-    nodes = written(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies")), "fingerprints")
+    n = marked.count()
+    nodes = written(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies")), "fingerprints", n)
     roots = components(links(nodes.select("fp"), radius), "a", "b")
     placed = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    placed = written(placed, "placed")
-    least = written(placed.groupBy("root").agg(F.min("first_id").alias("component_id"), F.count("*").alias("size")), "least")
-    return written(meet(placed, least, ["root"], "size").select("fp", "copies", "component_id"), "groups")
+    placed = written(placed, "placed", n)
+    least = written(placed.groupBy("root").agg(F.min("first_id").alias("component_id"), F.count("*").alias("size")), "least", n)
+    return written(meet(placed, least, ["root"], "size").select("fp", "copies", "component_id"), "groups", n)
 
 
 def near_duplicates(docs: DataFrame, radius: int = 4) -> DataFrame:
