@@ -95,6 +95,18 @@ def test_urls(spark):
     assert {r.rule for r in urlfilter.judge(pages, ()).collect()} == {None}
 
 
+def test_many_rules_are_no_larger_plan(spark):
+    """Rules of a hundred path lengths: one expression over a url's candidates, and the verdicts of a plain lookup."""
+    rules = tuple(urlfilter.Rule("a.org", "/" + "p" * n, urlfilter.BLOCK if n % 3 else urlfilter.ALLOW) for n in range(2, 102))
+    pages = spark.createDataFrame([(i, f"http://w{i % 3}.a.org/{'p' * i}{'/x' if i % 2 else ''}") for i in range(110)], "page_id long, url string")
+    judged = urlfilter.judge(pages, rules)
+    assert len(judged._jdf.queryExecution().optimizedPlan().toString()) < 40_000
+    for r in judged.collect():
+        best = min(r.page_id, 101)
+        assert r.rule == (f"a.org/{'p' * best}" if best >= 2 else None)
+        assert r.verdict == ("block" if best >= 2 and best % 3 else "allow")
+
+
 def test_cascade_is_exact_where_filters_are_poor(spark):
     rng = random.Random(2)
     keys = [f"k{i}" for i in range(3000)]

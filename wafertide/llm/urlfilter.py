@@ -6,12 +6,13 @@ rule's.  The first filter holds the listed keys, the second the unlisted candida
 first, the third the listed keys that pass the second, and so on until a level lets nothing through that it should
 not.  For every key of the corpus, membership is then exact, and judging a url needs no join.
 
-A second cascade over the rules alone tells the blocking ones.  Each filter is one row of 64-bit words and reaches
-the tasks as a scalar subquery; a list that needs more than ``most_bits`` is refused, so its size is bounded.
+A second cascade over the rules alone tells the blocking ones.  Each filter travels with the plan as one binary value, so
+a url's candidates are tested in one expression over their array, however many there are.  A list that needs more
+than ``most_bits`` is refused, so a filter's size is bounded.
 
 Defined results: null urls and those without ``://`` have an empty host and path, which no rule fits.  A url that no
 rule fits is not on the list and gets ``allow``.  Of the fitting rules the longest wins, then the one with the longer
-host.  Repeated rows are judged alike.  An empty table gives no row, an empty list no rule.  Other columns are ignored.
+host.  Repeated rows are judged alike, very long urls whole.  An empty table gives no row, an empty list no rule.  Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -57,7 +59,7 @@ class Settings:
 
 
 class Bloom:
-    """One filter: its word array as a column, and the test for a key."""
+    """One filter: its bits as a binary value, and the test for a key."""
 
     def __init__(self, keys: DataFrame, n: int, salt: int, cfg: Settings):
         self.bits = max(cfg.least_bits, 1 << math.ceil(math.log2(max(1, n) * cfg.bits_per_key)))
@@ -68,19 +70,19 @@ class Bloom:
         words = places.groupBy(F.shiftright("place", 6).alias("id")).agg(
             F.bit_or(F.expr("shiftleft(1L, cast(place & 63 as int))")).alias("bits")
         )
-        dense = keys.sparkSession.range(self.bits // 64).join(words, "id", "left")
-        row = dense.agg(F.sort_array(F.collect_list(F.struct("id", F.coalesce("bits", F.lit(0)).alias("bits")))).alias("a"))
-        self.words = written(row.select(F.col("a.bits").alias("words")), "bloom").scalar()
+        dense, got = np.zeros(self.bits // 64, "<i8"), words.toArrow()  # at most one row for each 64 bits
+        dense[got.column("id").to_numpy()] = got.column("bits").to_numpy()
+        self.bytes = F.lit(dense.tobytes())
 
     def _places(self, key: Column) -> list[Column]:
         return [F.pmod(F.xxhash64(key, F.lit(self.salt * self.hashes + i)), F.lit(self.bits)) for i in range(self.hashes)]
 
     def has(self, key: Column) -> Column:
-        test = key.isNotNull()
-        for place in self._places(key):
-            word = F.get(self.words, F.shiftright(place, 6).cast("int"))
-            test &= F.getbit(word, place.bitwiseAND(63).cast("int")) == 1
-        return test
+        def bit(place: Column) -> Column:
+            byte = F.conv(F.hex(F.substring(self.bytes, F.shiftright(place, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+            return F.getbit(byte, place.bitwiseAND(7).cast("int")) == 1
+
+        return key.isNotNull() & F.forall(F.array(*self._places(key)), bit)
 
 
 class Cascade:
@@ -139,8 +141,7 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, cfg: Settings = Set
     rows = rows.withColumn("keys", candidates(labels, lengths))
     listed = Cascade(keys, rows.select(F.explode("keys.key").alias("key")), cfg)
     blocking = Cascade(keys.where(F.col("verdict") == BLOCK), keys, cfg)
-    tried = [F.get("keys", F.lit(i)) for i in range(labels * len(lengths))]  # subqueries cannot stand inside lambdas
-    fitting = F.array_max(F.array(*[F.when(listed.has(k["key"]), k) for k in tried]))
+    fitting = F.array_max(F.filter("keys", lambda k: listed.has(k["key"])))
     rows = rows.select("page_id", "host", "path", fitting["key"].alias("rule"))
     return rows.withColumn("verdict", F.when(F.col("rule").isNotNull() & blocking.has(F.col("rule")), BLOCK).otherwise(ALLOW))
 
