@@ -71,11 +71,18 @@ def test_hilbert_neighbours_differ_in_one_step():
 
 
 def test_encoders_agree():
-    encoder = packing.Encoder(packing.Settings())
-    rng = random.Random(5)
+    import pyarrow as pa
+
+    encoder, rng = packing.Encoder(packing.Settings()), random.Random(4)
     alphabet = "ab cZ'sé漢字𝄞\n\t\r 09_-.,!?<|>ßñ  ́ᄀÅⅧ½٣\x00\x85​"
-    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(0, 80))) for _ in range(3000)]
-    assert [encoder(t) for t in texts] == [ids[:-1] for ids in whole(texts)]
+    more = "aeinst  hrl.,\n\t'ABC012é漢字𝄞<|endoftext|>\x85\u3000\x1c"
+    texts = [t for _, t in AWKWARD] + ["".join(rng.choice(x) for _ in range(rng.randrange(0, 80))) for x in (alphabet, alphabet, more) for _ in range(1500)]
+    texts += ["<|endoftext|> a", " " * 5000, "\u3000 " * 2500, "ab" * 3000, f"x {'y' * 1999} z", "é" * 2500, f"{prose(rng, 400)}{'q' * 4000}"]
+    ids, offsets = encoder(pa.array(texts))
+    assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == whole(texts)
+    runs = ["a" * n for n in (1999, 2000, 2500)] + ["b c " * 4000, " " * 2000, "\u3000" * 700, None, "w" * 2000]
+    found = packing.long_runs(*packing.utf8(pa.array(runs)))
+    assert found[[1, 2, 4, 5, 7]].all() and not found[3]
 
 
 def test_tail_has_no_padding():
@@ -90,3 +97,13 @@ def test_neighbours_are_alike(spark):
     got = packing.pack_documents(frame(spark, rows)).orderBy("sequence_id", "offset").collect()
     kinds = [p.doc_id % 2 for p in got]
     assert sum(a != b for a, b in zip(kinds, kinds[1:])) < 12
+
+
+def test_many_ranges(spark):
+    """Small ranges: sequences end at each range's end, and every id still lies in one piece."""
+    rng = random.Random(5)
+    rows = [*AWKWARD, *[(100 + i, prose(rng, rng.randrange(1, 400))) for i in range(150)]]
+    cfg = packing.Settings(range_bytes=40_000)
+    pieces = packing.digests(packing.pack_documents(frame(spark, rows), cfg)).collect()
+    assert len({p.sequence_id >> 36 for p in pieces}) > 5
+    checked(rows, pieces)

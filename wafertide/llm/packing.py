@@ -3,19 +3,19 @@
 Each document's tokens are hashed into a signed vector, projected to a few dimensions and squashed to a grid cell
 whose Hilbert key orders the documents.  The token table is range-sorted by (key, id), and each range is cut into
 sequences as one stream: neighbours on the curve share sequences and only cuts at sequence ends split documents.
-The rest of a range is cut at powers of two, which need no padding.
+The rest of a range is cut at powers of two, which need no padding.  The number of ranges follows from the tokens' bytes.
 
 The tokens are written once to the shared folder, since range partitioning samples its input: the sample then reads
 the key columns of that table instead of encoding every text twice.
 
 Defined results: a null text is an empty one, and an empty text still has its end token.  Copies and equal keys are
-ordered by id, then tokens, so a group of copies of any size spreads over ranges.  Repeated rows are packed once
+ordered by id, then tokens, so a group of copies of any size spreads over ranges.  Very long texts are tokenized
+whole and cut over as many sequences as they need.  Repeated rows are packed once
 each.  A null id stays null and sorts first.  An empty table gives no row.  Other columns are ignored.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import binaries, written
+from .common import binaries, slabs, utf8, written
 
 TOKENS = "n_tokens long, ids binary, curve_key long"
 PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, curve_key long, ids binary"
@@ -43,6 +43,8 @@ class Settings:
     dims: int = 3
     bits: int = 12
     seed: int = 11
+    range_bytes: int = 8 << 20  # of token ids in a range, as long as there are no more than ``most_ranges``
+    most_ranges: int = 20_000
 
 
 def tokenizer_path(name: str) -> str:
@@ -54,11 +56,27 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+#: Bytes that surely end a run of other than white space, and those that surely end one of white space.
+_ENDS = np.zeros((2, 256), bool)
+_ENDS[0, [9, 10, 11, 12, 13, 32]] = True
+_ENDS[1, :128] = ~_ENDS[0, :128]
+_ENDS[1, 28:32] = False
+
+
+def long_runs(flat: np.ndarray, offsets: np.ndarray, size: int = 1000) -> np.ndarray:
+    """Which texts may hold an unbroken run of ``2 * size`` bytes; each such run fills an aligned block of ``size``."""
+    found = np.zeros(len(offsets) - 1, bool)
+    blocks = flat[: len(flat) // size * size].reshape(-1, size)
+    for ends in _ENDS:
+        for k in np.flatnonzero(~ends[blocks].any(axis=1)).tolist():
+            first, last = np.searchsorted(offsets, [k * size, (k + 1) * size - 1], side="right") - 1
+            found[first : last + 1] = True
+    return found
+
+
 class Encoder:
     """Ids of the ``tokenizers`` file.  ``tiktoken`` gives the same ids several times faster from the same vocabulary;
-    texts that spell a special token or hold a very long unbroken run go to ``tokenizers`` itself."""
-
-    _odd = re.compile(r"<\||\S{2000}|\s{2000}")
+    texts that spell a special token or may hold a very long unbroken run go to ``tokenizers`` itself."""
 
     def __init__(self, cfg: Settings):
         import base64
@@ -67,6 +85,7 @@ class Encoder:
         import tiktoken
         from tokenizers import Tokenizer
 
+        self.end = np.array([cfg.end], np.uint32)
         self.whole = Tokenizer.from_file(tokenizer_path(cfg.tokenizer))
         self.quick = None
         if cfg.ranks:
@@ -74,10 +93,19 @@ class Encoder:
                 ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
             self.quick = tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
-    def __call__(self, text: str) -> list[int]:
-        if self.quick is None or self._odd.search(text):
-            return self.whole.encode(text, add_special_tokens=False).ids
-        return self.quick.encode_ordinary(text)
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, each followed by the end token, and their offsets."""
+        parts, lengths, odd = [], np.empty(len(texts), np.int64), long_runs(*utf8(texts))
+        for i, text in enumerate(texts.to_pylist()):
+            if not text:
+                got = self.end[:0]
+            elif self.quick is None or odd[i] or "<|" in text:
+                got = np.array(self.whole.encode(text, add_special_tokens=False).ids, np.uint32)
+            else:
+                got = self.quick.encode_to_numpy(text)
+            lengths[i] = len(got) + 1
+            parts += [got, self.end]
+        return np.concatenate(parts) if parts else self.end[:0], np.concatenate([[0], np.cumsum(lengths)])
 
 
 def hilbert_key(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -135,22 +163,16 @@ def tokenize(docs: DataFrame, cfg: Settings = Settings()) -> DataFrame:
     @F.arrow_udf(TOKENS)
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder, table = Encoder(cfg), None
+        names, kind = ["n_tokens", "ids", "curve_key"], pa.struct([("n_tokens", pa.int64()), ("ids", pa.binary()), ("curve_key", pa.int64())])
         for texts in batches:
-            lists, lengths = [], np.empty(len(texts), np.int64)
-            for i, text in enumerate(texts.to_pylist()):
-                got = encoder(text) if text else []
-                got.append(cfg.end)
-                lengths[i] = len(got)
-                lists.append(np.array(got, np.uint32))
-            ids = np.concatenate(lists) if lists else np.empty(0, np.uint32)
-            offsets = np.concatenate([[0], np.cumsum(lengths)])
-            if table is None:
-                table = token_table(max(encoder.whole.get_vocab_size(), int(ids.max(initial=0)) + 1), cfg)
-            keys = curve_keys(ids, offsets, table, cfg)
-            yield pa.StructArray.from_arrays(
-                [pa.array(lengths), binaries(ids.astype("<u4").view(np.uint8), offsets * 4), pa.array(keys)],
-                ["n_tokens", "ids", "curve_key"],
-            )
+            out = []
+            for some in slabs(texts, 4 << 20):
+                ids, offsets = encoder(some)
+                if table is None:
+                    table = token_table(max(encoder.whole.get_vocab_size(), cfg.end + 1), cfg)
+                columns = [pa.array(np.diff(offsets)), binaries(ids.astype("<u4").view(np.uint8), offsets * 4), pa.array(curve_keys(ids, offsets, table, cfg))]
+                out.append(pa.StructArray.from_arrays(columns, names))
+            yield pa.concat_arrays(out) if out else pa.array([], kind)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), encode(F.col("text")).alias("t")).select("doc_id", "t.*")
 
@@ -207,7 +229,9 @@ def pack(tokens: DataFrame, cfg: Settings = Settings()) -> DataFrame:
         if held:
             yield emit(list(split_tail(held, at % size, base + at // size)))
 
-    ordered = tokens.repartitionByRange("curve_key", "doc_id").sortWithinPartitions("curve_key", "doc_id", "ids")
+    total = 4 * (tokens.agg(F.sum("n_tokens")).first()[0] or 0)
+    ranges = int(min(cfg.most_ranges, max(1, -(-total // cfg.range_bytes))))
+    ordered = tokens.repartitionByRange(ranges, "curve_key", "doc_id").sortWithinPartitions("curve_key", "doc_id", "ids")
     return ordered.select("doc_id", "n_tokens", "curve_key", "ids").mapInArrow(stream, PIECES)
 
 
