@@ -131,13 +131,15 @@ def judge(docs: DataFrame, cfg: Settings = Settings()) -> DataFrame:
 def keep_good(docs: DataFrame, cfg: Settings = Settings()) -> DataFrame:
     """The documents, all columns, that pass their own rules and whose host is not rejected.
 
-    The base verdict is computed once for the hosts and again in the filter, which spares shuffling the texts.
+    The rows are written once with their base verdict, so the words of each text are counted once; hosts read two slim
+    columns of that table.
     """
-    (host,) = fresh(docs, "__host")
-    failed = word_counts(cfg)["base_failed"]
-    bad = rejected_hosts(docs.select(F.col("source").alias("host"), failed.alias("base_failed")), cfg)
+    host, failed = fresh(docs, "__host", "__failed")
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    rows = written(docs.select(*names, word_counts(cfg)["base_failed"].alias(failed)), "judged")
+    bad = rejected_hosts(rows.select(F.col("source").alias("host"), F.col(failed).alias("base_failed")), cfg)
     bad = written(bad.select(F.col("host").alias(host)), "hosts")  # its size on disk decides how it is joined
-    return docs.where(~failed).join(bad, F.col("source") == F.col(host), "left_anti")
+    return rows.where(~F.col(failed)).join(bad, F.col("source") == F.col(host), "left_anti").select(*names)
 
 
 ORACLE = r"""
