@@ -234,7 +234,7 @@ def test_long_texts_take_linear_time():
     import pyarrow as pa
 
     cfg = pii.Settings()
-    for text in ("a=b1c2&" * 150_000, "k1=" * 300_000, "x9" * 500_000, "é: a1234 " * 60_000, "1 " * 400_000):
+    for text in ("a=b1c2&" * 75_000, "k1=" * 150_000, "x9" * 500_000, "é: a1234 " * 30_000, "1 " * 150_000):
         tracemalloc.start()
         begin = time.time()
         _, (found,) = pii.instances(pa.array([text]), cfg, re.compile(cfg.seeds))
