@@ -330,6 +330,12 @@ class Pieces:
         return text[1:] if text.startswith(" ") else text
 
 
+@cache
+def coder_of(model: str) -> Coder:
+    """A worker's encoder, kept for all its tasks."""
+    return Coder(model)
+
+
 @cache
 def pieces_of(model: str) -> Pieces:
     """A worker's tables, built once for all its tasks."""
@@ -350,20 +356,28 @@ def slabs(texts: pa.Array, size: int) -> Iterator[list]:
 
 
 class Coder:
-    """A task's encoder; it remembers the ids of units in up to ``remembered`` bytes, which changes no result."""
+    """An encoder that remembers the ids of units in about twice ``remembered`` bytes: units met since the memory was last
+    full and those of the time before.  It encodes up to ``together`` units at once.  Neither changes a result."""
 
-    def __init__(self, model: str = MODEL, remembered: int = 32 << 20, together: int = 1 << 17):
-        self.pieces, self.known, self.held, self.remembered, self.together = pieces_of(model), {}, 0, remembered, together
+    def __init__(self, model: str = MODEL, remembered: int = 40 << 20, together: int = 1 << 17):
+        self.pieces, self.remembered, self.together = pieces_of(model), remembered, together
+        self.known, self.before, self.held = {}, {}, 0
 
     def lookup(self, units: list[str]) -> list[bytes]:
         if self.held > self.remembered:
-            self.known.clear()
-            self.held = 0
-        new = list({u for u in units if u not in self.known})
+            self.known, self.before, self.held = {}, self.known, 0
+        known, before, new = self.known, self.before, []
+        for u in {*units}.difference(known):
+            ids = before.get(u)
+            if ids is None:
+                new.append(u)
+            else:
+                known[u] = ids
+                self.held += 200 + len(u) + len(ids)
         found = self.pieces.units(new)
-        self.known.update(zip(new, found, strict=True))
+        known.update(zip(new, found, strict=True))
         self.held += sum(map(len, found)) + 2 * sum(map(len, new)) + 200 * len(new)
-        return [self.known[u] for u in units]
+        return [known[u] for u in units]
 
     def __call__(self, texts: list) -> list[bytes]:
         """Ids of each text, a bounded number of units at a time."""
@@ -382,7 +396,9 @@ class Coder:
         for row, text in enumerate(texts):
             if not text:
                 continue
-            found = (m[0] for m in _UNIT.finditer(META + text.replace(" ", META)))
+            text = META + text.replace(" ", META)
+            found = (m[0] for m in _UNIT.finditer(text)) if len(text) > self.together else _UNIT.findall(text)
+            found = iter(found)
             while own := list(islice(found, self.together)):
                 rows.append(row)
                 units.append(own)
@@ -400,7 +416,7 @@ def encode(docs: DataFrame, model: str = MODEL, slab: int = 1 << 20) -> DataFram
 
     @F.arrow_udf("ids binary, n_ids long")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        coder = Coder(model)
+        coder = coder_of(model)
         for texts in batches:
             data = [d for some in slabs(texts, slab) for d in coder(some)]
             yield pa.StructArray.from_arrays([pa.array(data, pa.binary()), pa.array([len(d) // 4 for d in data], pa.int64())], ["ids", "n_ids"])
@@ -439,7 +455,7 @@ def round_trip(docs: DataFrame, model: str = MODEL, slab: int = 1 << 20) -> Data
 
     @F.arrow_udf("n_ids long, ids_crc32 long, exact boolean")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        coder = Coder(model)
+        coder = coder_of(model)
         raw = coder.pieces.raw
         for texts in batches:
             rows = []
