@@ -158,7 +158,8 @@ def curve_keys(ids: np.ndarray, offsets: np.ndarray, table: np.ndarray, cfg: Set
 
 
 def tokenize(docs: DataFrame, cfg: Settings = Settings()) -> DataFrame:
-    """``doc_id, n_tokens, ids, curve_key``; ids are little-endian unsigned 32-bit, the end token included."""
+    """``doc_id, n_tokens, ids, curve_key``; ids are little-endian and unsigned, the end token included, of two bytes each
+    where the vocabulary allows, else of four, which halves what is stored and shuffled."""
 
     @F.arrow_udf(TOKENS)
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -170,7 +171,9 @@ def tokenize(docs: DataFrame, cfg: Settings = Settings()) -> DataFrame:
                 ids, offsets = encoder(some)
                 if table is None:
                     table = token_table(max(encoder.whole.get_vocab_size(), cfg.end + 1), cfg)
-                columns = [pa.array(np.diff(offsets)), binaries(ids.astype("<u4").view(np.uint8), offsets * 4), pa.array(curve_keys(ids, offsets, table, cfg))]
+                width = 2 if len(table) <= 1 << 16 else 4
+                packed = binaries(ids.astype(f"<u{width}").view(np.uint8), offsets * width)
+                columns = [pa.array(np.diff(offsets)), packed, pa.array(curve_keys(ids, offsets, table, cfg))]
                 out.append(pa.StructArray.from_arrays(columns, names))
             yield pa.concat_arrays(out) if out else pa.array([], kind)
 
@@ -199,7 +202,7 @@ def cut(lengths: np.ndarray, before: int, size: int, last: bool) -> tuple[list[t
 
 
 def pack(tokens: DataFrame, cfg: Settings = Settings()) -> DataFrame:
-    """Pieces of the documents of ``tokenize`` in sequences along the curve, with their ids."""
+    """Pieces of the documents of ``tokenize`` in sequences along the curve, with their ids as unsigned 32-bit."""
     size = cfg.size
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,8 +222,9 @@ def pack(tokens: DataFrame, cfg: Settings = Settings()) -> DataFrame:
             rows, of, data = held, -1, b""
             for k, start, length, sequence, offset in pieces:
                 if k != of:
-                    of, data = k, ids[k].as_buffer()
-                part = data[4 * start : 4 * (start + length)].to_pybytes()
+                    data = ids[k].as_buffer()
+                    of, data = k, np.frombuffer(data, f"<u{len(data) // n[k]}")
+                part = data[start : start + length].astype("<u4").tobytes()
                 rows.append((doc[k], start, length, n[k], base + sequence, offset, key[k], part))
             open_at = base + at // size
             held = [r for r in rows if r[4] == open_at]
