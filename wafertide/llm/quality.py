@@ -132,12 +132,13 @@ def keep_good(docs: DataFrame, cfg: Settings = Settings()) -> DataFrame:
     """The documents, all columns, that pass their own rules and whose host is not rejected.
 
     The rows are written once with their base verdict, so the words of each text are counted once; hosts read two slim
-    columns of that table.
+    columns of that table.  Of a failed row only those are kept.
     """
-    host, failed = fresh(docs, "__host", "__failed")
+    host, of, failed = fresh(docs, "__host", "__of", "__failed")
     names = [F.col(f"`{c}`") for c in docs.columns]
-    rows = written(docs.select(*names, word_counts(cfg)["base_failed"].alias(failed)), "judged")
-    bad = rejected_hosts(rows.select(F.col("source").alias("host"), F.col(failed).alias("base_failed")), cfg)
+    rows = docs.select(*names, F.col("source").alias(of), F.explode(F.array(word_counts(cfg)["base_failed"])).alias(failed))
+    rows = written(rows.select(*[F.when(~F.col(failed), c).alias(c_) for c, c_ in zip(names, docs.columns)], of, failed), "judged")
+    bad = rejected_hosts(rows.select(F.col(of).alias("host"), F.col(failed).alias("base_failed")), cfg)
     bad = written(bad.select(F.col("host").alias(host)), "hosts")  # its size on disk decides how it is joined
     return rows.where(~F.col(failed)).join(bad, F.col("source") == F.col(host), "left_anti").select(*names)
 
